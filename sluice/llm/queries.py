@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokenstore
+from . import neardup, packing, quality, tokenstore, toxicity
 from .common import read
 
 
@@ -14,12 +14,28 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+#: Shingle length and similarity that the contract of this query fixes.
+OP8_WORDS, OP8_PERCENT = 3, 85
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), OP8_WORDS, OP8_PERCENT)
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.store_and_read(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op5_token_store)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op5_token_store, op7_toxicity, op8_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
