@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, merkle, neardup, packing, quality, tokenstore, toxicity, warc
+from . import audio, lattice, licenses, merkle, neardup, packing, quality, tokenstore, toxicity, warc
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.store_and_read(read(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.sample(read(spark, sf_dir, "documents"))
+
+
 def op4_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.store_and_describe(read(spark, sf_dir, "documents"))
 
@@ -46,8 +50,12 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op4_audio, op5_token_store, op6_warc, op7_toxicity, op8_near_duplicates, op9_fingerprints)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op3_sentencepiece, op4_audio, op5_token_store, op6_warc, op7_toxicity, op8_near_duplicates, op9_fingerprints, op10_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
