@@ -18,7 +18,8 @@ from .common import written
 SKETCH = 64
 #: Characters per piece in texts below and from SHORT_CHARS.
 SHORT_CHARS, SHORT_PIECE, PIECE = 256, 4, 32
-ROWS_PER_PART = 50_000
+#: Rows per range of ids, about: a range's rows fit a window's buffer.
+ROWS_PER_GROUP = 2_000
 _NO_ID = -(2**63)
 
 
@@ -94,44 +95,46 @@ def changed_paragraphs(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return out.withColumn("left_changed", own("__l", "__r")).withColumn("right_changed", own("__r", "__l")).drop("__l", "__r")
 
 
+def with_groups(docs: DataFrame) -> DataFrame:
+    """docs (id, ...) with g, the id's range: ranges of equal width that hold about ROWS_PER_GROUP rows each."""
+    low, high, n = docs.filter(F.col("id") != _NO_ID).agg(F.min("id"), F.max("id"), F.count("*")).first()
+    if not n:
+        return docs.withColumn("g", F.lit(-1).cast("long"))
+    width = max(1.0, (high - low + 1) / max(1, n // ROWS_PER_GROUP))
+    return docs.withColumn("g", F.when(F.col("id") == _NO_ID, -1).otherwise(F.floor((F.col("id").cast("double") - float(low)) / width)).cast("long"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """key columns id, tie of every distinct document with those of the next one, in ascending id: next_id, next_tie.
+    """docs (id, tie, text, fingerprint, ...) with next_text and next_fingerprint of the row after it by (id, tie).
 
-    After the last comes the first. Only ids and hashes are ordered, in ranges, so no task sees them all.
+    After the last comes the first. Rows meet by ranges of ids; the first row of a range is copied to the end of the
+    range before, so texts move once. What is known of all ranges is one small row each.
     """
-    keys = docs.select("id", "tie", "n_chars").distinct()
-    parts = max(1, -(-keys.count() // ROWS_PER_PART))
-    placed = written(keys.repartitionByRange(parts, "id", "tie").withColumn("part", F.spark_partition_id()), "order")
-    within = Window.partitionBy("part").orderBy("id", "tie")
-    key = F.struct("id", "tie")
-    firsts = placed.groupBy("part").agg(F.min(key).alias("head"))  # one row per range
-    follow = firsts.select("part", F.lead("head").over(Window.orderBy("part")).alias("follow"))
-    least = placed.agg(F.min(key).alias("least"))
-    led = placed.withColumn("inside", F.lead(key).over(within)).join(follow, "part").join(F.broadcast(least))
-    after = F.coalesce("inside", "follow", "least")
-    return led.select("id", "tie", "n_chars", after["id"].alias("next_id"), after["tie"].alias("next_tie"))
+    placed = with_groups(docs)
+    firsts = placed.groupBy("g").agg(F.min(F.struct("id", "tie")).alias("head"))
+    order = Window.orderBy("g")
+    before = F.coalesce(F.lag("g").over(order), F.max("g").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    firsts = written(firsts.select(F.col("head.id").alias("id"), F.col("head.tie").alias("tie"), before.alias("to")), "range-heads")
+    copies = placed.join(firsts, ["id", "tie"]).withColumn("g", F.col("to")).drop("to").withColumn("copy", F.lit(1))
+    rows = placed.withColumn("copy", F.lit(0)).unionByName(copies)
+    within = Window.partitionBy("g").orderBy("copy", "id", "tie")
+    led = rows.withColumn("next_text", F.lead("text").over(within)).withColumn("next_fingerprint", F.lead("fingerprint").over(within))
+    return led.filter("copy = 0").drop("copy", "g")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
 
     The edited text is the text with its last floor(n_chars / 4) characters replaced by as many first ones (or all) of
-    the next document. Null text: empty. Rows equal in doc_id and text count as one document in the order and have
-    equal results; rows of one doc_id with different texts are ordered by their hash. Null ids come first. A single
-    document is its own next. Other columns are left out; empty input gives an empty result.
+    the next document. Null text: empty. Rows of one doc_id follow each other in the order of their texts' hashes, so a
+    repeated row's next may be its repeat. Null ids come first. A single document is its own next. Other columns are
+    left out; empty input gives an empty result.
     """
     doc = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    doc = doc.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("tie"), F.char_length("text").cast("long").alias("n_chars"), "text")
-    order = written(with_next(doc), "next")
-    base = with_fingerprint(doc, "text", "fingerprint")
-    wanted = order.select(F.col("next_id").alias("id"), F.col("next_tie").alias("tie"), F.col("id").alias("for_id"), F.col("tie").alias("for_tie"), F.floor(F.col("n_chars") / 4).cast("int").alias("take"))
-    heads = base.join(wanted, ["id", "tie"]).select(
-        F.col("for_id").alias("id"), F.col("for_tie").alias("tie"), F.expr("substring(text, 1, take)").alias("head"),
-        F.col("fingerprint").alias("next_fingerprint"),
-    ).dropDuplicates(["id", "tie"])
-    edited = base.join(heads, ["id", "tie"]).withColumn(
-        "edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), head)")
-    )
+    doc = doc.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("tie"), "text")
+    led = with_next(with_fingerprint(doc, "text", "fingerprint")).withColumn("n_chars", F.char_length("text").cast("long"))
+    take = "cast(floor(n_chars / 4) as int)"
+    edited = led.withColumn("edited", F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {take}), substring(next_text, 1, {take}))"))
     return with_fingerprint(edited, "edited", "edited_fingerprint").select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
