@@ -21,7 +21,7 @@ from .common import held_out, labelled_sample, small_batches
 #: Most labelled rows a fit looks at, and the longest text among them.
 FIT_ROWS, FIT_CHARS = 8_000, 20_000
 HASH_BITS = 20
-ALPHA, BETA, L1, L2, EPOCHS = 1.0, 0.1, 4.0, 0.01, 6
+ALPHA, BETA, L1, L2, EPOCHS = 2.0, 0.1, 6.0, 0.01, 8
 THRESHOLD = 0.3
 #: Words whose hash a worker keeps.
 WORDS_KEPT = 500_000
