@@ -101,7 +101,7 @@ def with_stubs(observers: DataFrame, rows: DataFrame, key: str, note: str = "aut
 
 def quarantined(rows: DataFrame, key: str, lookup: DataFrame, lookup_key: str, to: str, note: str) -> DataFrame:
     """rows with `to` (the key if the lookup has it, else null) and `note` (what the raw cell said, where it was lost)."""
-    valid = F.broadcast(lookup.select(F.col(lookup_key).alias("_v")).distinct())
+    valid = lookup.select(F.col(lookup_key).alias("_v")).distinct()
     code = S.to_integer(key)
     joined = rows.withColumn("_c", code).join(valid, F.col("_c") == F.col("_v"), "left")
     return joined.withColumn(to, F.col("_v")).withColumn(note, S.raw_note(key, key, F.col("_v"))).drop("_c", "_v")

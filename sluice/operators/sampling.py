@@ -60,7 +60,7 @@ def spread_rank(pool: DataFrame, group: Sequence[str], cell: Column, seed: int,
     w = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     order = w.orderBy(keyed_hash(seed, F.lit(f"|{stream}|d|"), "folder"), "folder")
     placed = folders.withColumn("_place", F.row_number().over(order) - 1).withColumn("_folders", F.count("*").over(w))
-    j = ranked.join(F.broadcast(placed), [*g, "folder"])
+    j = ranked.join(placed, [*g, "folder"])
     return j.withColumn("_turn", F.pmod(F.col("_place") - F.col("_pass"), F.col("_folders"))).drop("_cell", "_r", "_place", "_folders")
 
 
