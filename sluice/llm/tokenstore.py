@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, small_batches
+from .common import fresh_path, small_batches, written
 from .tokens import byte_bpe, default_vocabulary
 
 END_ID = 0
@@ -82,8 +82,8 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     files = spark.read.schema(SCHEMA).parquet(path)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    base = totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    out = files.join(F.broadcast(base), "part")
+    base = written(totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")), "bases")
+    out = files.join(base, "part")  # the planner knows the written size and broadcasts it while that is small
     return out.select("doc_id", (F.col("_base") + F.col("part_start")).alias("start"), "n_tokens", *(["ids"] if ids else []))
 
 
