@@ -4,8 +4,8 @@ One pass over the texts gives each document its number of distinct word shingles
 signature: under every permutation both the least and the greatest hash are kept, two unbiased samples for one
 evaluation. Documents with equal sets are collapsed to the smallest id at once. Bands of the signature deal the rest
 into buckets. Within a bucket no all-pairs list is made: members are confirmed against one member of the bucket first,
-found links are merged into components, and only members of a bucket that are still in different components are paired.
-Every link is confirmed on the full shingle sets of the two texts.
+found links are merged into components, and only members of a bucket that are still in different components are paired,
+by an exact prefix filter on their rarest shingles. Every link is confirmed on the full shingle sets of the two texts.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ PERMUTATIONS = 72
 #: A pair exactly at the threshold is missed by all bands with at most this probability.
 MISS = 2e-5
 WORDS_KEPT = 400_000
+#: Bits of the table that orders shingles by rarity.
+COUNTER_BITS = 18
 
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -155,12 +157,77 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.join(smallest, "root").select("node", "component")
 
 
+def shingle_order(texts: DataFrame, words: int) -> np.ndarray:
+    """How often shingles occur in texts, by COUNTER_BITS bits of their hash: a bounded table that orders shingles by
+    rarity. Collisions only make the order less telling, never a result wrong."""
+
+    def run(batches):
+        counts = np.zeros(1 << COUNTER_BITS, np.int64)
+        for batch in batches:
+            found = np.concatenate([shingle_set(t or "", words) for t in batch.column("text").to_pylist()])
+            slots, n = np.unique(found >> np.uint64(64 - COUNTER_BITS), return_counts=True)
+            counts[slots.astype(np.int64)] += n
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
+
+    rows = texts.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << COUNTER_BITS, np.int32)
+    table[rows["slot"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
+    return table
+
+
+def prefixes(texts: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
+    """(h, pos, id, n, comp, s0..s3): the rarest shingles of each text, so many that two similar texts must share one.
+
+    s0..s3 hold the parity of the shingles in each of 256 slots: two sets differ by at least as many shingles as bits.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches):
+        for batch in batches:
+            h, pos, rows, parity = [], [], [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                found = shingle_set(text or "", words)
+                keep = len(found) - -(-percent * len(found) // 100) + 1
+                count = shared.value[found >> np.uint64(64 - COUNTER_BITS)]
+                h.append(found[np.lexsort((found, count))][:keep].view(np.int64))
+                pos.append(np.arange(len(h[-1])))
+                rows.append(np.full(len(h[-1]), k))
+                parity.append(np.packbits(np.bincount((found >> np.uint64(8)).astype(np.uint8), minlength=256) & 1).view(np.int64))
+            at = np.concatenate(rows)
+            bits = np.stack(parity)[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(h)), pa.array(np.concatenate(pos)), *(batch.column(c).take(pa.array(at)) for c in ("id", "n", "comp")),
+                 *(pa.array(bits[:, k]) for k in range(4))],
+                ["h", "pos", "id", "n", "comp", "s0", "s1", "s2", "s3"],
+            )
+
+    return texts.select("id", "n", "comp", "text").mapInArrow(run, "h long, pos long, id long, n long, comp long, s0 long, s1 long, s2 long, s3 long")
+
+
+def rest_pairs(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of members in different components that may be similar; no similar pair is missing.
+
+    Two texts of similarity t share at least one of their rarest shingles, and the place of the first one bounds what
+    they can share in all, as do the parities of the two sets. Texts that have only common passages in common, or copies
+    that have drifted too far apart, therefore meet nowhere.
+    """
+    open_texts = written(members.select("id", "n", "comp").distinct().join(texts.withColumnRenamed("doc_id", "id"), "id"), "open-texts")
+    rows = written(prefixes(open_texts, shingle_order(open_texts, words), words, percent), "prefixes")
+    left, right = (rows.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("pos", "id", "n", "comp", "s0", "s1", "s2", "s3"))) for x in ("a", "b"))
+    most = F.lit(1) + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
+    both = F.col("n_a") + F.col("n_b")
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(4)), F.lit(0))
+    fits = (most * (100 + percent) >= both * percent) & ((both - apart) * (100 + percent) >= both * 2 * percent)
+    return left.join(right, "h").filter((F.col("comp_a") < F.col("comp_b")) & fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def link_buckets(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """All links needed to join the members of each bucket that are similar: confirmed (a, b).
 
     members: key, id, n. First every id is confirmed against one centre, then against the centre of each of its
-    buckets unless both are in one component by then, at last against every member of its buckets that is still in
-    another component.
+    buckets unless both are in one component by then. Members of buckets that still hold several components are at last
+    paired by their rarest shingles, which misses none and leaves texts apart that share common passages alone.
     """
     spark = members.sparkSession
     similar_size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
@@ -174,8 +241,7 @@ def link_buckets(members: DataFrame, texts: DataFrame, words: int, percent: int)
             split = here.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
             here = written(here.join(split, "key", "left_semi"), "open")
         if step == "rest":
-            left, right = (here.select("key", F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"c_{x}")) for x in ("a", "b"))
-            pairs = left.join(right, "key").filter((F.col("c_a") < F.col("c_b")) & similar_size).select("a", "b").distinct()
+            pairs = rest_pairs(here, texts, words, percent)
         else:
             order = F.struct(F.xxhash64("id"), "id", "n", "comp")
             centre = here.groupBy("key").agg(F.min(order).alias("m"))
