@@ -30,6 +30,19 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), OP8_WORDS, OP8_PERCENT)
 
 
+OP8_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {OP8_WORDS} THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {OP8_PERCENT} * (a.n + b.n - count(*))),
+m AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM m UNION SELECT r.a, m.b FROM r JOIN m ON r.b = m.a),
+c AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept FROM s LEFT JOIN c ON doc_id = a
+"""
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.store_and_read(read(spark, sf_dir, "documents"))
 
@@ -59,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": warc.ORACLE_SQL, "op9_fingerprints": merkle.ORACLE_SQL}
+    return {"op6_warc": warc.ORACLE_SQL, "op8_near_duplicates": OP8_SQL, "op9_fingerprints": merkle.ORACLE_SQL}
