@@ -9,16 +9,40 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 
 import regex
 from tokenizers import Tokenizer
 
 #: Fixed value: the split pattern of the byte-level vocabulary.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries kept per worker before a cache starts afresh.
-CHUNKS_KEPT, PIECES_KEPT = 700_000, 300_000
+#: Entries per cache and generation: a full cache becomes the older generation, from which entries come back on use.
+CHUNKS_KEPT, PIECES_KEPT = 500_000, 200_000
 #: Longer chunks are not kept, so that the caches stay small in bytes too.
 LONGEST_KEPT = 64
+#: Marks that follow a word as a piece of their own.
+MARKS = frozenset(".,;:!?|")
+#: Below this character, str.isalpha and the pattern agree on what a letter is.
+LATIN_END = "\u0250"
+
+
+class Generations:
+    """A bounded dictionary in two generations."""
+
+    def __init__(self, kept: int):
+        self.kept, self.new, self.old = kept, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) <= LONGEST_KEPT:
+            if len(self.new) >= self.kept:
+                self.old, self.new = self.new, {}
+            self.new[key] = value
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -35,40 +59,44 @@ class ByteBpe:
         self.model = Tokenizer.from_file(path).model
         self.split = regex.compile(SPLIT_PATTERN).findall
         self.alphabet = byte_alphabet()
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.space = self.alphabet[32]
+        self.chunks, self.pieces = Generations(CHUNKS_KEPT), Generations(PIECES_KEPT)
 
     def piece(self, text: str) -> bytes:
-        spelled = text.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet)
-        return b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(spelled))
+        """Ids of one piece of the split pattern."""
+        ids = self.pieces.get(text)
+        if ids is None:
+            if text.isascii() and text.isprintable():
+                spelled = text.replace(" ", self.space)
+            else:
+                spelled = text.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet)
+            ids = array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+            self.pieces.put(text, ids)
+        return ids
 
     def chunk(self, text: str) -> bytes:
-        out = []
-        for part in self.split(text):
-            ids = self.pieces.get(part)
-            if ids is None:
-                ids = self.piece(part)
-                if len(part) <= LONGEST_KEPT:
-                    if len(self.pieces) >= PIECES_KEPT:
-                        self.pieces.clear()
-                    self.pieces[part] = ids
-            out.append(ids)
-        ids = b"".join(out)
-        if len(text) <= LONGEST_KEPT:
-            if len(self.chunks) >= CHUNKS_KEPT:
-                self.chunks.clear()
-            self.chunks[text] = ids
+        """Ids of a space and a run without inner spaces that follows it."""
+        ids = self.chunks.get(text)
+        if ids is None:
+            word, mark = (text[:-1], text[-1]) if text and text[-1] in MARKS else (text, "")
+            if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
+                ids = self.piece(" " + word)
+                if mark:
+                    ids += self.piece(mark)
+            else:
+                ids = b"".join(map(self.piece, self.split(" " + text)))
+            self.chunks.put(text, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         parts = re.split(r"(?<=\S) (?=\S)", text) if re.search(r" \s|\s ", text) else text.split(" ")
-        keys = [parts[0], *[" " + p for p in parts[1:]]]
-        known = list(map(self.chunks.get, keys))
+        first = b"".join(map(self.piece, self.split(parts.pop(0))))
+        known = list(map(self.chunks.new.get, parts))
         if None in known:
-            known = [self.chunk(k) if ids is None else ids for k, ids in zip(keys, known)]
-        return b"".join(known)
+            known = [self.chunk(p) if ids is None else ids for p, ids in zip(parts, known)]
+        return first + b"".join(known)
 
 
 @functools.lru_cache(maxsize=2)
