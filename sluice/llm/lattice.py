@@ -174,18 +174,27 @@ class Lattice:
                 kind.append(np.fromiter((p.fallback(text[i]) for i in bare), np.int32, len(bare)))
             go = v > -2
             here, h = here[go], h[go]
-        start, stop, kind = np.concatenate(start), np.concatenate(stop), np.concatenate(kind)
         distance = end - np.arange(len(chars))
-        by_distance = np.argsort(distance, kind="stable")
+        short = distance.max(initial=0) < 2**16
+        by_distance = np.argsort(distance.astype(np.uint16) if short else distance, kind="stable")
         rank = np.empty(len(chars), np.int64)
         rank[by_distance] = np.arange(len(chars))
-        order = np.argsort(rank[start], kind="stable")
-        self.kind = kind[order]
-        node = rank[start[order]]
-        to = np.where(stop == end[start], -1, rank[np.minimum(stop, len(chars) - 1)])[order]
+        # a node has at most one edge per length: edges go straight to their places, the longest piece first
+        degree = np.zeros(len(chars), np.int64)
+        for at in start:
+            degree[rank[at]] += 1
+        first = np.concatenate([[0], np.cumsum(degree)])
+        free = first[1:].copy()
+        self.kind = np.empty(first[-1], np.int32)
+        node, to = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        for at, goes, v in zip(start, stop, kind):
+            here = rank[at]
+            free[here] -= 1
+            place = free[here]
+            self.kind[place], node[place] = v, here
+            to[place] = np.where(goes == end[at], -1, rank[np.minimum(goes, len(chars) - 1)])
         table = np.concatenate([p.log_weight, [p.byte_weight * len(x) for x in p.expansion]])
         weight = table[self.kind]
-        first = np.searchsorted(node, np.arange(len(chars) + 1))
         beta = np.zeros(len(chars) + 1)  # the last stands for the end of a chunk, -1
         steps = np.searchsorted(distance[by_distance], np.arange(1, int(distance.max(initial=0)) + 2))
         for a, b in zip(steps[:-1], steps[1:]):
@@ -197,28 +206,34 @@ class Lattice:
         self.log_p = weight + beta[to] - beta[node]
         total = np.cumsum(np.exp(self.log_p))
         before = np.concatenate([[0.0], total])[first[:-1]]
-        self.reach = node + np.minimum(total - before[node], 1.0)
-        self.reach[first[1:] - 1] = np.arange(1, len(chars) + 1)
+        self.reach = total - before[node]  # within the node; its last edge takes what rounding leaves
+        self.reach[first[1:] - 1] = 2.0
         self.first, self.to, self.node = first, to, node
         self.root = rank[ends - sizes]
 
     def walk(self, at: np.ndarray, seed: np.ndarray, place: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
         """Sampled edges from each node to the end of its chunk: (which start, edge), in order."""
         who, step = np.arange(len(at)), 0
+        length = np.zeros(len(at), np.int64)
         found, edges = [], []
         while len(who):
             u = uniform(seed[who], stream, place[who], step)
-            e = np.minimum(np.searchsorted(self.reach, at + u, side="right"), self.first[at + 1] - 1)
+            e = self.first[at]
+            more = np.flatnonzero(u >= self.reach[e])
+            while len(more):
+                e[more] += 1
+                more = more[u[more] >= self.reach[e[more]]]
             found.append(who)
             edges.append(e)
+            length[who] += 1
             at = self.to[e]
-            go = at >= 0
+            go = np.flatnonzero(at >= 0)
             who, at, step = who[go], at[go], step + 1
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        found, edges = np.concatenate(found), np.concatenate(edges)
-        order = np.argsort(found, kind="stable")
-        return found[order], edges[order]
+        begin = np.cumsum(length) - length
+        out = np.empty(int(length.sum()), np.int64)
+        for k, (w, e) in enumerate(zip(found, edges)):
+            out[begin[w] + k] = e
+        return np.repeat(np.arange(len(length)), length), out
 
 
 def truncated(mass: np.ndarray, u: np.ndarray, limit: float) -> np.ndarray:
