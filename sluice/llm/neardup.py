@@ -267,8 +267,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     no component (null) and is kept. Empty input gives an empty result.
     """
     sketched = written(sketch(docs, words, percent), "sketch")
-    sets = sketched.filter("doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    tagged = written(sketched.join(sets.filter("set_key IS NOT NULL"), "set_key", "left").drop("set_key"), "tagged")
+    sets = sketched.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # joined from written tables, so that Spark can split the rows of one very common set or group
+    tagged = written(sketched.join(written(sets, "sets"), "set_key", "left").drop("set_key"), "tagged")
     dealt = tagged.filter("doc_id = rep").select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = dealt.groupBy("key").agg(F.min("id").alias("i0"), F.max("id").alias("i1")).filter("i0 <> i1").select("key")
     members = written(dealt.join(shared, "key"), "buckets")
@@ -279,7 +280,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     # rows of one id with different texts are one document: tie their sets together
     several = tagged.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("r1")).filter("a <> r1").select("doc_id", "a")
     ties = tagged.join(several, "doc_id").select("a", F.col("rep").alias("b"))
-    known = components(links.unionByName(ties)).withColumnRenamed("node", "rep")
+    known = written(components(links.unionByName(ties)).withColumnRenamed("node", "rep"), "known")
     component = F.coalesce("component", "rep", "doc_id")
     return tagged.join(known, "rep", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
