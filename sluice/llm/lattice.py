@@ -1,8 +1,8 @@
 """SentencePiece encoding, decoding and sampling of distinct segmentations without replacement.
 
-A text's segmentations form a lattice that is cut before every space mark, as no piece in use crosses one. Pieces weigh
-1 / (rank + 2)^POWER by their rank in the model, and a backward pass turns the weights into exact probabilities of the
-next piece at every node.
+A text's segmentations form a lattice that is cut before every run of space marks: pieces hold marks at their start
+only, or are runs of marks, so none crosses such a cut. Pieces weigh 1 / (rank + 2)^POWER by their rank in the model, and
+a backward pass turns the weights into exact probabilities of the next piece at every node.
 
 Sampling is Gumbel top-k by perturbed A-star search. The whole lattice gets a Gumbel value, its maximum, and a sampled
 path that attains it. Taking that path out splits the rest into disjoint regions - same pieces up to some point, another
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+_chunk = re.compile(f"{MARK}+[^{MARK}]*")
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -74,9 +78,9 @@ class Pieces:
         for i in range(n):
             if self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i) or self.model.is_unused(i):
                 continue
-            piece = self.model.id_to_piece(i)
-            if MARK not in piece[1:]:
-                usable[piece] = i
+            usable[self.model.id_to_piece(i)] = i
+        #: False for a model with a piece that has a mark after another character: its texts are not cut at all.
+        self.cuts = not any(MARK in piece.lstrip(MARK) for piece in usable)
         for rank, i in enumerate(sorted(usable.values(), key=lambda i: (-self.model.get_score(i), i))):
             self.log_weight[i] = -POWER * np.log(rank + 2)
         self.byte_weight = -POWER * np.log(len(usable) + 2)
@@ -98,6 +102,15 @@ class Pieces:
         self.virtual: dict[str, int] = {}
         self.expansion: list[list[int]] = []
 
+    def chunks(self, text: str) -> list[str]:
+        """The text cut before every run of space marks, each chunk without its first mark."""
+        if not text:
+            return []
+        if self.cuts and "  " not in text and text[0] != " " and MARK not in text:
+            return text.split(" ")
+        text = text.replace(" ", MARK)
+        return [c[1:] for c in _chunk.findall(MARK + text)] if self.cuts else [text]
+
     @staticmethod
     def extend(h: np.ndarray, c: np.ndarray) -> np.ndarray:
         h = (h ^ c) * _K
@@ -243,7 +256,7 @@ def truncated(mass: np.ndarray, u: np.ndarray, limit: float) -> np.ndarray:
 
 def sample_texts(p: Pieces, texts: list[str], keys: list[int], samples: int) -> list[list[tuple[float, float, float, np.ndarray]]]:
     """For every text up to `samples` distinct segmentations: (log probability, perturbed value, inclusion, ids)."""
-    words = [t.split(" ") if t else [] for t in texts]
+    words = [p.chunks(t) for t in texts]
     number: dict[str, int] = {w: k for k, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
     seeds = np.array(keys, np.uint64)
     roots_of = [np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) for ws in words]

@@ -196,6 +196,44 @@ def test_samples_follow_the_exact_distribution():
     assert len(few) == len(all_segmentations(p, "a")) and abs(sum(math.exp(s[0]) for s in few) - 1) < 1e-9
 
 
+def is_path(p, text, ids):
+    """Whether the ids are a path of the text's lattice."""
+    chunks, at = p.chunks(text), 0
+    chart = lattice.Lattice(p, chunks)
+    for node in chart.root:
+        while node >= 0:
+            for e in range(chart.first[node], chart.first[node + 1]):
+                piece = p.ids(chart.kind[e : e + 1]).tolist()
+                if ids[at : at + len(piece)] == piece:
+                    node, at = chart.to[e], at + len(piece)
+                    break
+            else:
+                return False
+    return at == len(ids)
+
+
+def test_space_runs_are_in_the_lattice():
+    p = lattice.pieces(lattice.default_model())
+    for text in ("    x = 1", "if a:\n        b  =   c\n", "a   b", " a", "  ", " ", "a    ", "\tx   | é  梦", "word" + " " * 40 + "word", "a▁ b", "plain words here"):
+        assert is_path(p, text, p.model.encode(text)), text
+    text = "a   b"
+    exact = {}
+
+    def go(rest, path, lw):
+        if not rest:
+            exact[tuple(path)] = lw
+        for k in range(1, len(rest) + 1):
+            j = p.model.piece_to_id(rest[:k])
+            if p.model.id_to_piece(j) == rest[:k]:
+                go(rest[k:], [*path, j], lw + p.log_weight[j])
+
+    go("▁" + text.replace(" ", "▁"), [], 0.0)
+    total = np.logaddexp.reduce(list(exact.values()))
+    got = lattice.sample_texts(p, [text], [1], 500)[0]
+    assert {tuple(s[3].tolist()) for s in got} == set(exact) and tuple(p.model.encode(text)) in exact
+    assert all(abs(exact[tuple(s[3].tolist())] - total - s[0]) < 1e-9 for s in got)
+
+
 def test_samples_decode_to_their_texts(spark, sf, docs, edge, empty):
     rows = queries.op3_sentencepiece(spark, sf)
     assert rows.count() == sum(2 if t else 1 for t in docs.text)
