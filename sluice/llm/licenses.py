@@ -4,6 +4,7 @@ Words that occur once in both the text window and the template are anchors; the
 both is kept, and the gaps between them are aligned the same way, after equal words at a gap's two ends. The share of
 template words aligned is the coverage. A text is only aligned where it can reach the least coverage at all: windows are
 grown from the words it shares with a template, and a window with too few of them is passed over, which loses nothing.
+A window can hold several notices: after a match, the words on both sides of it are aligned again.
 """
 
 from __future__ import annotations
@@ -143,6 +144,43 @@ def prepared(templates: dict[str, str]) -> list[tuple[str, list[str], Counter]]:
     return [(name, ws, Counter(ws)) for name, ws in words.items() if ws]
 
 
+def notices(words: list[str], template: list[str], count: Counter, need: int) -> list[tuple[int, int, int]]:
+    """(first word, last word, aligned words) of every notice in the words of a window, apart from each other.
+
+    The window is aligned as a whole, then what is left on both sides of the match. Where two notices have room and the
+    match is not the template word for word, ranges about as long as the template are aligned too: the match that
+    is densest in aligned words is taken where a second one lies beside it, or where the whole did not align, as words that occur in two notices are no
+    anchors.
+    """
+
+    def aligned(a: int, b: int) -> tuple[int, int, int] | None:
+        if b - a < need or sum((count & Counter(words[a:b])).values()) < need:
+            return None
+        pairs = align(words[a:b], template)
+        return (a + pairs[0][0], a + pairs[-1][0], len(pairs)) if len(pairs) >= need else None
+
+    def slid(a: int, b: int) -> tuple[int, int, int] | None:
+        if b - a < need or sum((count & Counter(words[a:b])).values()) < need:
+            return None
+        sizes = {len(template), len(template) + len(template) // 4 + 1}
+        found = {aligned(i, min(b, i + n)) for i in range(a, b - need + 1) if words[i] in count for n in sizes} - {None}
+        return min(found, key=lambda m: (-m[2] / (m[1] - m[0] + 1 + len(template)), m[0]), default=None)
+
+    out, ranges = [], [(0, len(words))]
+    while ranges:
+        a, b = ranges.pop()
+        best = aligned(a, b)
+        exact = best is not None and best[2] == len(template) == best[1] - best[0] + 1
+        if not exact and b - a >= (need if best is None else 2 * need):
+            tight = slid(a, b)
+            if tight and (best is None or slid(a, tight[0]) or slid(tight[1] + 1, b)):
+                best = tight
+        if best:
+            out.append(best)
+            ranges += [(a, best[0]), (best[1] + 1, b)]
+    return sorted(out)
+
+
 def matches(text: str, templates: list, least: float) -> list[tuple[str, int, int, int, int, float]]:
     """License, character span, matched and template words and coverage of the aligned windows that reach `least`.
 
@@ -164,11 +202,8 @@ def matches(text: str, templates: list, least: float) -> list[tuple[str, int, in
         best: list[tuple[float, int, int, int]] = []
         for a, b in windows(sorted(i for w in count for i in hits.get(w, ())), len(template)):
             part = [w for w, _, _ in spelled[a:b]]
-            if sum((count & Counter(part)).values()) < need:
-                continue
-            pairs = align(part, template)
-            if len(pairs) >= need:
-                best.append((len(pairs) / len(template), a + pairs[0][0], a + pairs[-1][0], len(pairs)))
+            if sum((count & Counter(part)).values()) >= need:
+                best += [(n / len(template), a + i, a + j, n) for i, j, n in notices(part, template, count, need)]
         found += [(name, spelled[i][1], spelled[j][2], n, len(template), coverage) for coverage, i, j, n in best]
     stay: list[tuple[str, int, int, int, int, float]] = []
     for m in sorted(found, key=lambda x: (-x[5], -x[3], x[1], x[0])):

@@ -461,6 +461,25 @@ def test_license_scan(spark, sf, docs, edge, empty):
     assert licenses.scan(edge).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def names(text):
+    return [m[0] for m in licenses.matches(text, licenses.prepared(licenses.TEMPLATES), licenses.COVERAGE)]
+
+
+def test_repeated_notices_give_a_row_each(spark, sf, docs):
+    lines = {v: k for k, v in licenses.TEMPLATES.items() if len(v) < 90}
+    want = Counter((i, lines[l]) for i, t in zip(docs.doc_id, docs.text) for l in t.split("\n") if l in lines)
+    assert Counter((r.doc_id, r.license) for r in queries.op10_licenses(spark, sf).collect()) == want
+    for name, line in licenses.TEMPLATES.items():
+        for n in (2, 3, 7):
+            assert names(" ".join([line] * n)) == [name] * n and names(" x\n".join([line] * n)) == [name] * n
+    mit = licenses.TEMPLATES["MIT text"]
+    one = mit.replace("to any person", "to any honest person").replace("sublicense, ", "").replace("the following conditions", "these conditions")
+    two = mit.replace("free of charge", "at no cost").replace("portions of the Software", "parts of it")
+    for parts in ((one, one), (one, two), (two, one), (two, two), (one, mit, two)):
+        assert names("\n".join(parts)) == ["MIT text"] * len(parts)
+    assert names("All rights reserved. Released under the MIT License. All rights reserved.") == ["Reserved", "MIT", "Reserved"]
+
+
 # -- pipeline ---------------------------------------------------------------------------------------------------------
 
 
