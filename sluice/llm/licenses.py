@@ -4,6 +4,7 @@ Words that occur once in both the text window and the template are anchors; the
 both is kept, and the gaps between them are aligned the same way, after equal words at a gap's two ends. The share of
 template words aligned is the coverage. A text is only aligned where it can reach the least coverage at all: windows are
 grown from the words it shares with a template, and a window with too few of them is passed over, which loses nothing.
+Short templates have to be covered in full, and a word put into a notice must not make it another template's words.
 A window can hold several notices: after a match, the words on both sides of it are aligned again.
 """
 
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 COVERAGE = 0.8
+#: Templates of fewer words have to be aligned in full: the one word left out could be the license's name.
+SHORT_WORDS = 20
 
 #: Public license notices, as their licenses state them.
 TEMPLATES = {
@@ -144,7 +147,15 @@ def prepared(templates: dict[str, str]) -> list[tuple[str, list[str], Counter]]:
     return [(name, ws, Counter(ws)) for name, ws in words.items() if ws]
 
 
-def notices(words: list[str], template: list[str], count: Counter, need: int) -> list[tuple[int, int, int]]:
+def named_otherwise(words: list[str], pairs: list[tuple[int, int]], template: list[str], templates: list) -> bool:
+    """Whether one word between two aligned ones makes the three a stretch of some template, but not of this one, as in
+    the Lesser form of a license."""
+    put = {tuple(words[i : k + 1]) for (i, _), (k, _) in zip(pairs, pairs[1:]) if k == i + 2}
+    put -= set(zip(template, template[1:], template[2:]))
+    return bool(put) and any(three in put for _, ws, _ in templates for three in zip(ws, ws[1:], ws[2:]))
+
+
+def notices(words: list[str], template: list[str], count: Counter, need: int, templates: list) -> list[tuple[int, int, int]]:
     """(first word, last word, aligned words) of every notice in the words of a window, apart from each other.
 
     The window is aligned as a whole, then what is left on both sides of the match. Where two notices have room and the
@@ -157,7 +168,9 @@ def notices(words: list[str], template: list[str], count: Counter, need: int) ->
         if b - a < need or sum((count & Counter(words[a:b])).values()) < need:
             return None
         pairs = align(words[a:b], template)
-        return (a + pairs[0][0], a + pairs[-1][0], len(pairs)) if len(pairs) >= need else None
+        if len(pairs) < need or named_otherwise(words[a:b], pairs, template, templates):
+            return None
+        return a + pairs[0][0], a + pairs[-1][0], len(pairs)
 
     def slid(a: int, b: int) -> tuple[int, int, int] | None:
         if b - a < need or sum((count & Counter(words[a:b])).values()) < need:
@@ -182,7 +195,8 @@ def notices(words: list[str], template: list[str], count: Counter, need: int) ->
 
 
 def matches(text: str, templates: list, least: float) -> list[tuple[str, int, int, int, int, float]]:
-    """License, character span, matched and template words and coverage of the aligned windows that reach `least`.
+    """License, character span, matched and template words and coverage of the aligned windows that reach `least`, or full
+    coverage for short templates.
 
     Of overlapping matches the one of the highest coverage stays, then that of more words, then the first.
     """
@@ -196,14 +210,14 @@ def matches(text: str, templates: list, least: float) -> list[tuple[str, int, in
     if not hits:
         return found
     for name, template, count in templates:
-        need = -(-int(least * 1_000_000) * len(template) // 1_000_000)
+        need = len(template) if len(template) < SHORT_WORDS else -(-int(least * 1_000_000) * len(template) // 1_000_000)
         if sum(min(n, len(hits.get(w, ()))) for w, n in count.items()) < need:
             continue
         best: list[tuple[float, int, int, int]] = []
         for a, b in windows(sorted(i for w in count for i in hits.get(w, ())), len(template)):
             part = [w for w, _, _ in spelled[a:b]]
             if sum((count & Counter(part)).values()) >= need:
-                best += [(n / len(template), a + i, a + j, n) for i, j, n in notices(part, template, count, need)]
+                best += [(n / len(template), a + i, a + j, n) for i, j, n in notices(part, template, count, need, templates)]
         found += [(name, spelled[i][1], spelled[j][2], n, len(template), coverage) for coverage, i, j, n in best]
     stay: list[tuple[str, int, int, int, int, float]] = []
     for m in sorted(found, key=lambda x: (-x[5], -x[3], x[1], x[0])):

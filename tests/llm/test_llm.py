@@ -480,6 +480,21 @@ def test_repeated_notices_give_a_row_each(spark, sf, docs):
     assert names("All rights reserved. Released under the MIT License. All rights reserved.") == ["Reserved", "MIT", "Reserved"]
 
 
+def test_near_miss_notices_are_not_named():
+    gpl = licenses.TEMPLATES["GPL header"]
+    for text in (
+        "Released under the BSD License.", "released under the new license", "Licensed under CC BY 4.0.", "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under the GNU General Public License, version 2.", "This library is licensed under the GNU General Public License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        gpl.replace("GNU General", "GNU Lesser General"),
+        gpl.replace("This program", "This library").replace("GNU General", "GNU Lesser General"),
+    ):
+        assert names(text) == [], text
+    assert all(names(text) == [name] for name, text in licenses.TEMPLATES.items())
+    assert names(gpl.replace("This program", "This library")) == ["GPL header"] and names("All of the rights are reserved.") == ["Reserved"]
+
+
 # -- pipeline ---------------------------------------------------------------------------------------------------------
 
 
