@@ -2,7 +2,8 @@
 
 A text is cut at single spaces between non-space characters. The vocabulary's own split pattern always starts a new
 piece there, so the ids of a text are the ids of its chunks in order. Chunks repeat a lot, so most cost one dictionary
-lookup; new ones are split by the pattern and each piece is encoded by the library's BPE model.
+lookup; new ones are split by the pattern and each piece is encoded by the library's BPE model. The vocabulary's added
+tokens are taken out first, as the library does.
 """
 
 from __future__ import annotations
@@ -53,10 +54,16 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class ByteBpe:
-    """encode(text) gives the ids as little-endian unsigned 32-bit bytes. Special-token strings are ordinary text."""
+    """encode(text) gives the ids as little-endian unsigned 32-bit bytes, added tokens in the text as their own ids."""
 
     def __init__(self, path: str):
-        self.model = Tokenizer.from_file(path).model
+        library = Tokenizer.from_file(path)
+        self.model = library.model
+        added = library.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that strip spaces or need word ends are not handled")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        self.around_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
         self.split = regex.compile(SPLIT_PATTERN).findall
         self.alphabet = byte_alphabet()
         self.space = self.alphabet[32]
@@ -91,6 +98,12 @@ class ByteBpe:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            return b"".join(self.added.get(part) or self.plain(part) for part in self.around_added(text) if part)
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         parts = re.split(r"(?<=\S) (?=\S)", text) if re.search(r" \s|\s ", text) else text.split(" ")
         first = b"".join(map(self.piece, self.split(parts.pop(0))))
         known = list(map(self.chunks.new.get, parts))

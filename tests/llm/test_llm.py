@@ -115,6 +115,21 @@ def test_token_files(spark, sf, docs, edge, empty):
     assert "ids" not in tokenstore.read_tokens(spark, path, ids=False).columns
 
 
+def test_added_tokens_get_their_own_ids(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_vocabulary())
+    texts = ["a<|endoftext|>b", "x  <|endoftext|>  y", "<|endoftext|><|endoftext|>", " <|endoftext|>\n it's", "a <|endoftext| > <|endoftext|", "plain words", "<|endoftext|>"]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    bpe = tokens.byte_bpe(tokens.default_vocabulary())
+    assert [np.frombuffer(bpe.encode(t), "<u4").tolist() for t in texts] == ids and ids[0] == [64, 50256, 65]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stored = tokenstore.store_and_read(df).orderBy("doc_id").collect()
+    assert [(r.start, r.n_tokens, r.ids_crc32) for r in stored] == [(sum(len(x) + 1 for x in ids[:k]), len(i) + 1, crc([*i, 0])) for k, i in enumerate(ids)]
+    packed = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack_documents(df).collect()}
+    assert packed == {k: (len(i) + 1, crc([*i, 1])) for k, i in enumerate(ids)}
+
+
 # -- classifiers ------------------------------------------------------------------------------------------------------
 
 
