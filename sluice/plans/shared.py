@@ -7,11 +7,23 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL: dict[str, str] = {}
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a temporary folder where that is unset."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("sluice.shared.dir", None)
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where it is unset, a temporary folder if all tasks run in this process, else an error: each
+    executor would write to its own disk and later reads would miss those files."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="sluice-shared-")
-        spark.conf.set("sluice.shared.dir", folder)
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="sluice-shared-")
+        folder = _LOCAL[context.applicationId]
+    return folder.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
