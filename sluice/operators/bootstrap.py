@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import keyed_hash
-from .calibrate import _tuples, rake
+from ..plans.shared import written
+from .calibrate import NO_CELL, margin_totals, rake
 
 
 def numbered(frames: DataFrame) -> DataFrame:
@@ -67,25 +68,25 @@ def difference(left: DataFrame, right: DataFrame, statistic: Column, rounds: int
     return at.join(F.broadcast(interval(both, "value", rounds, alpha))).select((F.col("a") - F.col("b")).alias("point"), "low", "high", (F.col("na") + F.col("nb")).alias("n"))
 
 
-def reraked_draws(frames: DataFrame, population: DataFrame, margins: Sequence[Column], rounds: int, seed: int, inner: int = 25, tolerance: float = 1e-5) -> DataFrame:
-    """Replicates whose weights are raked anew to the population, each in one task of bounded size (a sample's frames)."""
-    _, _, _, targets = _tuples(frames, population, margins)
+def reraked_draws(frames: DataFrame, population: DataFrame, margins: Sequence[Column], rounds: int = 2000, seed: int = 20260923, inner: int = 25, tolerance: float = 1e-5) -> DataFrame:
+    """Replicates whose weights are raked anew to the population.
+
+    A replicate's draws are counted by their tuple of margin cells first, so the task that rakes it holds as many rows as
+    there are strata, whatever the size of the sample; the weights join back to the draws.
+    """
     names = [f"_m{k}" for k in range(len(margins))]
-    pairs = F.array(*(F.struct(F.lit(k).alias("m"), m.cast("string").alias("cell")) for k, m in enumerate(margins)))
-    totals = population.select(F.explode(pairs).alias("p")).select("p.m", "p.cell").distinct().collect()
-    index = [{r["cell"]: i for i, r in enumerate(sorted((r for r in totals if r["m"] == k), key=lambda r: str(r["cell"])))} for k in range(len(margins))]
+    totals, targets = margin_totals(population, margins)
+    index = [{cell: i for i, cell in enumerate(cells)} for cells in totals]
 
     def weigh(group: pd.DataFrame) -> pd.DataFrame:
-        keys = group[names].apply(tuple, axis=1)
-        tuples = list(dict.fromkeys(keys))
-        place = {t: i for i, t in enumerate(tuples)}
-        at = keys.map(place).to_numpy()
-        counts = np.bincount(at, minlength=len(tuples)).astype(float)
-        cells = [np.array([index[k].get(t[k], -1) for t in tuples]) for k in range(len(names))]
-        return group.assign(weight=rake(cells, counts, targets, inner, tolerance)[at]).drop(columns=names)
-
-    keyed = frames.withColumn("weight", F.lit(0.0))
-    for k, m in enumerate(margins):
-        keyed = keyed.withColumn(names[k], m.cast("string"))
-    drawn = draws(keyed, rounds, seed)
-    return drawn.groupBy("replicate").applyInPandas(weigh, drawn.drop(*names).schema)
+        cells = [np.array([index[k].get(v, -1) for v in group[n]], int) for k, n in enumerate(names)]
+        return group.assign(weight=rake(cells, group["_n"].to_numpy(float), targets, inner, tolerance))
+
+    keyed = frames.drop("weight")
+    for name, m in zip(names, margins):
+        keyed = keyed.withColumn(name, F.coalesce(m.cast("string"), F.lit(NO_CELL)))
+    drawn = written(draws(written(keyed, "sampled"), rounds, seed), "draws")
+    counted = drawn.groupBy("replicate", *names).agg(F.count("*").alias("_n"))
+    fields = ", ".join(f"{n} string" for n in names)
+    weights = counted.groupBy("replicate").applyInPandas(weigh, f"replicate int, {fields}, _n long, weight double").drop("_n")
+    return drawn.join(weights, ["replicate", *names]).drop(*names)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..plans.shared import written
 
 
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -62,7 +63,7 @@ def assign_ids(rows: DataFrame, order: str, to: str) -> DataFrame:
     """1, 2, ... in ascending order of a distinct column. Rows are ranked within ranges and shifted by the ranges before,
     so no task sees them all."""
     parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    placed = rows.repartitionByRange(int(parts), order).withColumn("_part", F.spark_partition_id()).persist()
+    placed = written(rows.repartitionByRange(int(parts), order).withColumn("_part", F.spark_partition_id()), "ranges")  # ranges are drawn once
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     base = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     at = F.row_number().over(Window.partitionBy("_part").orderBy(order))
@@ -214,13 +215,22 @@ def annotation_label(result: Column | str) -> Column:
     return F.struct(F.coalesce(said, F.when(boxes > 0, 1)).alias("present"), F.coalesce(boxes, F.lit(0)).alias("fish_boxes"))
 
 
+#: Ranges of the hash that a class is ranked in.
+SPLIT_PARTS = 256
+
+
 def class_split(files: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.15, 0.05), seed: int = 42, by: str = "class", key: str = "path") -> DataFrame:
     """files with split: the first int(n * train) of each class in seeded hash order, the next int(n * val), the rest."""
     if abs(sum(ratios) - 1.0) > 0.01:
         raise ValueError("the ratios must sum to 1")
-    order = Window.partitionBy(by).orderBy(S.keyed_hash(seed, F.lit("|"), key), key)
-    n = F.count("*").over(Window.partitionBy(by))
-    ranked = files.withColumn("_at", F.row_number().over(order)).withColumn("_n", n)
+    # ranked within ranges of the hash, so that a frequent class is not one task's work
+    hashed = files.withColumn("_h", S.keyed_hash(seed, F.lit("|"), key)).withColumn("_part", F.floor(F.col("_h") / F.lit(2**60 // SPLIT_PARTS)))
+    sizes = hashed.groupBy(by, "_part").agg(F.count("*").alias("_c"))
+    of_class = Window.partitionBy(by)
+    before = F.sum("_c").over(of_class.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    base = sizes.select(by, "_part", F.coalesce(before, F.lit(0)).alias("_base"), F.sum("_c").over(of_class).alias("_n"))
+    at = F.row_number().over(Window.partitionBy(by, "_part").orderBy("_h", key))
+    ranked = hashed.withColumn("_at", at).join(base, [by, "_part"]).withColumn("_at", F.col("_at") + F.col("_base"))
     train, val = F.floor(F.col("_n") * F.lit(ratios[0])), F.floor(F.col("_n") * F.lit(ratios[1]))
     split = F.when(F.col("_at") <= train, "train").when(F.col("_at") <= train + val, "val").otherwise("test")
-    return ranked.withColumn("split", split).drop("_at", "_n")
+    return ranked.select(*files.columns, split.alias("split"))

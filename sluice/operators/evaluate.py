@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import BANDS
+from ..plans.shared import written
+from .bootstrap import draws, interval
 
 #: The reporting thresholds of a sweep.
 THRESHOLDS = tuple(round(0.10 + 0.05 * k, 2) for k in range(17))
@@ -161,25 +163,70 @@ def statistic(kind: str, threshold: float, keep: Column | None = None) -> Column
     return precision(tp, total(hit & ~fish)) if kind.endswith("precision") else recall(tp, total(~hit & fish))
 
 
-def sweep(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
-    """Long table: threshold, level, metric, estimate, weighted and raw counts, frames flagged (weighted tp + fp)."""
+#: Resampling rounds of a sweep.
+SWEEP_ROUNDS = 1_000
+
+
+def sweep_parts(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """frame_id, parts: what one frame adds to the counts of every threshold and level, as structs of threshold, level,
+    tp, fp, fn. Every statistic of a sweep is a sum of these over frames."""
+    fish = F.col("has_fish")
+    flagged = lambda t: F.coalesce(F.col("max_conf") >= t, F.lit(False))
+    found = lambda t: F.coalesce(F.col("conf") >= t, F.lit(False))
+
+    def part(t: float, level: str, tp: Column, fp: Column, fn: Column) -> Column:
+        counts = (c.cast("long").alias(n) for c, n in ((tp, "tp"), (fp, "fp"), (fn, "fn")))
+        return F.struct(F.lit(float(t)).alias("threshold"), F.lit(level).alias("level"), *counts)
+
+    of_frame = [part(t, "frame", flagged(t) & fish, flagged(t) & ~fish, ~flagged(t) & fish) for t in thresholds]
+    of_boxes = [
+        part(t, "box", F.count_if(found(t) & F.col("is_fish")), F.count_if(found(t) & ~F.col("is_fish")), F.count_if(F.col("conf").isNull() | (~found(t) & F.col("is_fish"))))
+        for t in thresholds
+    ]
+    per_box = boxes.groupBy("frame_id").agg(F.array(*of_boxes).alias("_b"))
+    own = frames.select("frame_id", F.array(*of_frame).alias("_f")).join(per_box, "frame_id", "left")
+    return own.select("frame_id", F.concat("_f", F.coalesce("_b", F.array().cast(per_box.schema["_b"].dataType))).alias("parts"))
+
+
+def sweep_intervals(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float] = THRESHOLDS, rounds: int = SWEEP_ROUNDS, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
+    """threshold, level, metric, low, high of every statistic of a sweep, all from one resampling of the frames."""
+    frames = written(frames.select("frame_id", "band", "weight", "has_fish", "max_conf"), "sampled")
+    parts = written(sweep_parts(frames, boxes, thresholds), "parts")
+    drawn = draws(frames.select("frame_id", "band", "weight"), rounds, seed).join(parts, "frame_id")
+    each = drawn.select("replicate", "weight", F.explode("parts").alias("p")).select("replicate", "weight", "p.*")
+    per = each.groupBy("replicate", "threshold", "level").agg(*(F.sum(F.col("weight") * F.col(c)).alias(c) for c in ("tp", "fp", "fn")))
+    metric = F.explode(F.array(F.struct(F.lit("precision").alias("metric"), precision().alias("value")), F.struct(F.lit("recall").alias("metric"), recall().alias("value"))))
+    values = per.select("threshold", "level", metric.alias("m")).select("threshold", "level", "m.*")
+    return interval(values, "value", rounds, alpha, ["threshold", "level", "metric"]).drop("defined")
+
+
+def sweep(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float] = THRESHOLDS, rounds: int | None = None) -> DataFrame:
+    """Long table: threshold, level, metric, estimate, weighted and raw counts, frames flagged (weighted tp + fp); with
+    rounds also low and high of that many resamplings, and n_frames."""
     parts = [
         frame_confusion(frames, thresholds).drop("tn", "raw_tn").withColumn("level", F.lit("frame")),
         box_confusion(boxes, frames, thresholds).drop("raw_tn").withColumn("level", F.lit("box")),
     ]
     both = with_scores(parts[0].unionByName(parts[1]))
     metric = F.explode(F.array(F.struct(F.lit("precision").alias("metric"), F.col("precision").alias("estimate")), F.struct(F.lit("recall").alias("metric"), F.col("recall").alias("estimate"))))
-    return both.withColumn("m", metric).select(
+    rows = both.withColumn("m", metric).select(
         "threshold", "level", "m.metric", "m.estimate", "tp", "fp", "fn", "raw_tp", "raw_fp", "raw_fn",
         F.when(F.col("level") == "frame", F.col("tp") + F.col("fp")).alias("est_frames_flagged"),
     )
+    if rounds is None:
+        return rows
+    bounds = sweep_intervals(frames, boxes, thresholds, rounds)
+    sized = rows.join(bounds, ["threshold", "level", "metric"], "left").join(F.broadcast(frames.agg(F.count("*").alias("n_frames"))))
+    return sized.withColumns({c: F.when(F.col("estimate").isNotNull(), F.col(c)) for c in ("low", "high")})
 
 
 def sweep_sheet(rows: DataFrame, weighting: str = "band") -> DataFrame:
-    """The sweep as a published sheet: estimates to 4 places, weighted counts to 1."""
+    """The sweep as a published sheet: estimates and bounds to 4 places, weighted counts to 1."""
+    bounds = [F.round(a, 4).alias(b) for a, b in (("low", "ci_low"), ("high", "ci_high")) if a in rows.columns]
     return rows.select(
-        "threshold", "level", "metric", F.round("estimate", 4).alias("estimate"), *(F.round(c, 1).alias(f"weighted_{c}") for c in ("tp", "fp", "fn")),
+        "threshold", "level", "metric", F.round("estimate", 4).alias("estimate"), *bounds, *(F.round(c, 1).alias(f"weighted_{c}") for c in ("tp", "fp", "fn")),
         "raw_tp", "raw_fp", "raw_fn", F.round("est_frames_flagged", 1).alias("est_frames_flagged"), F.lit(weighting).alias("weighting"),
+        *(["n_frames"] if "n_frames" in rows.columns else []),
     )
 
 

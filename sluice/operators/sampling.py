@@ -8,42 +8,80 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bin_of, folder_of_id, keyed_hash, sequence_number
+from ..plans.shared import written
 
 #: Weights of the bands in a sample, the large-box quota.
 BAND_WEIGHTS = {"none": 90, "low": 70, "mid": 70, "high": 70}
 LARGE_BOX_QUOTA = 25
 
 
-def quantile_cuts(df: DataFrame, column: str, count: int = 3) -> list[float]:
-    """The elements at positions int(n * i / count) of the sorted values, i = 1 .. count - 1; empty without values.
+#: Bins per pass of the search for a quantile.
+BINS = 1_024
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], count: int = 3) -> dict[str, list[float]]:
+    """For each column the elements at positions int(n * i / count) of its sorted values, i = 1 .. count - 1; empty
+    without values.
 
-    Two aggregations over a histogram of the values: the position first, then the first value whose running count
-    passes it. Only count - 1 numbers reach the driver.
+    The rows are counted by value once; the counts are written, and every pass splits the range that holds a position
+    into BINS bins, so a task holds bins, never the values, and the driver one row per bin of the open ranges.
     """
-    n = df.filter(F.col(column).isNotNull()).count()
-    if n == 0:
-        return []
-    ranks = [int(n * i / count) for i in range(1, count)]
-    exact = [F.expr(f"percentile_disc({(r + 0.5) / n!r}D) WITHIN GROUP (ORDER BY `{column}`)") for r in ranks]
-    return [float(v) for v in df.agg(*exact).first()]
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns)))
+    counted = written(df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL").groupBy("name", "value").agg(F.count("*").alias("n")), "values")
+    total = {r["name"]: r for r in counted.groupBy("name").agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+    found: dict[tuple[str, int], float] = {}
+    # a position as (column, place) -> (rows before the range, its least and greatest value)
+    ranges = {(c, i): (int(total[c]["n"] * i / count), total[c]["low"], total[c]["high"]) for c in columns if c in total for i in range(1, count)}
+    while ranges:
+        for key in [k for k, (_, low, high) in ranges.items() if low == high]:
+            found[key] = ranges.pop(key)[1]
+        spans = {(c, low, high) for (c, _), (_, low, high) in ranges.items()}
+        if not spans:
+            break
+        table = df.sparkSession.createDataFrame(sorted(spans), "name string, low double, high double")
+        inside = counted.join(F.broadcast(table), "name").filter(F.col("value").between(F.col("low"), F.col("high")))  # at most one range per position
+        bin_ = F.least(F.floor((F.col("value") - F.col("low")) / ((F.col("high") - F.col("low")) / BINS)), F.lit(BINS - 1))
+        rows = inside.groupBy("name", "low", "high", bin_.alias("bin")).agg(F.sum("n").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")).collect()
+        for key, (skip, low, high) in list(ranges.items()):
+            for r in sorted((r for r in rows if (r["name"], r["low"], r["high"]) == (key[0], low, high)), key=lambda r: r["bin"]):
+                if skip < r["n"]:
+                    ranges[key] = (skip, r["least"], r["most"])
+                    break
+                skip -= r["n"]
+    return {c: [found[c, i] for i in range(1, count)] if c in total else [] for c in columns}
+
+
+def quantile_cuts(df: DataFrame, column: str, count: int = 3) -> list[float]:
+    """The quantiles of one column."""
+    return quantiles(df, [column], count)[column]
+
+
+def levelled(room: dict[str, int], amount: int) -> dict[str, int]:
+    """How much of each room is used when `amount` in all is taken from the largest rooms first, which levels them."""
+    amount = min(amount, sum(room.values()))
+    low, high = 0, max(room.values(), default=0)
+    while low < high:  # the lowest level that needs no more than the amount
+        middle = (low + high) // 2
+        if sum(max(0, v - middle) for v in room.values()) > amount:
+            low = middle + 1
+        else:
+            high = middle
+    used = {k: max(0, v - low) for k, v in room.items()}
+    left = amount - sum(used.values())
+    edge = sorted(k for k, v in room.items() if v - used[k] == low and low > 0)
+    return {k: n + (k in edge[:left]) for k, n in used.items()}
 
 
 def apportion(weights: dict[str, int], size: int, supply: dict[str, int]) -> dict[str, int]:
-    """Quotas that sum to size as far as supply allows: largest remainders first, then shortfalls pass to bands with the
-    most room, one frame each in turn. Works on one number per band."""
-    share = {b: size * w / (sum(weights.values()) or 1) for b, w in weights.items()}
-    quota = {b: int(v) for b, v in share.items()}
-    spare = size - sum(quota.values())
-    for b in sorted(share, key=lambda b: (quota[b] - share[b], b))[: max(0, spare)]:
-        quota[b] += 1
-    quota = {b: min(q, supply.get(b, 0)) for b, q in quota.items()}
-    while (missing := size - sum(quota.values())) > 0:
-        room = sorted((b for b in quota if supply.get(b, 0) > quota[b]), key=lambda b: (quota[b] - supply[b], b))
-        if not room:
-            return quota
-        for b in room[:missing]:
-            quota[b] += 1
-    return quota
+    """Quotas in proportion to the weights that sum to size as far as supply allows: whole shares, then one more for the
+    largest remainders, and what a band can't supply goes to the bands with the most room."""
+    whole = sum(weights.values()) or 1
+    rank = {b: k for k, b in enumerate(sorted(weights, key=lambda b: (-(size * weights[b] % whole), b)))}
+    extra = size - sum(size * w // whole for w in weights.values())
+    wanted = {b: size * w // whole + (rank[b] < extra) for b, w in weights.items()}
+    quota = {b: min(n, supply.get(b, 0)) for b, n in wanted.items()}
+    more = levelled({b: supply.get(b, 0) - n for b, n in quota.items()}, size - sum(quota.values()))
+    return {b: n + more[b] for b, n in quota.items()}
 
 
 def spread_rank(pool: DataFrame, group: Sequence[str], cell: Column, seed: int, stream: str) -> DataFrame:
@@ -108,7 +146,9 @@ def stratified_sample(records: DataFrame, size: int = 300, seed: int = 20260922,
 
     force (frame_id): frames that come first; unknown ids are ignored; they count toward their band's quota.
     """
-    b_cuts, z_cuts = quantile_cuts(records, "brightness"), quantile_cuts(records, "blur")
+    records = written(records, "records")
+    cuts = quantiles(records, ["brightness", "blur"])
+    b_cuts, z_cuts = cuts["brightness"], cuts["blur"]
     supply = {r["conf_band"]: r["n"] for r in records.groupBy("conf_band").agg(F.count("*").alias("n")).collect()}  # four bands
     quotas = apportion(weights or BAND_WEIGHTS, size, supply)
     forced = records.limit(0) if force is None else records.join(force.select("frame_id").distinct(), "frame_id", "left_semi")
@@ -187,9 +227,10 @@ def enriched_sample(records: DataFrame, strata: Sequence[tuple[str, int, Column]
 
     A frame goes to the first stratum that draws it. accounting: kind, name, n for refused, eligible and drawn.
     """
-    leaked = leaks(records, test, buffer)
-    eligible = records.join(leaked.select("frame_id"), "frame_id", "left_anti")
-    b_cuts, z_cuts = quantile_cuts(eligible, "brightness"), quantile_cuts(eligible, "blur")
+    leaked = written(leaks(records, test, buffer), "leaks")
+    eligible = written(records.join(leaked.select("frame_id"), "frame_id", "left_anti"), "eligible")
+    cuts = quantiles(eligible, ["brightness", "blur"])
+    b_cuts, z_cuts = cuts["brightness"], cuts["blur"]
     chosen: DataFrame | None = None
     kind = F.when(F.col("distance") == 0, "is a test frame").otherwise("is beside a test frame")
     accounting = leaked.groupBy(kind.alias("name")).agg(F.count("*").alias("n")).select(F.lit("refused").alias("kind"), "name", "n")

@@ -76,6 +76,12 @@ def score_images(images: DataFrame, make_scorer: Callable[[], Scorer], floor: fl
     return images.select(*columns).mapInPandas(run, schema)
 
 
+def pixel_columns(images: DataFrame) -> list:
+    """The columns a look at the pixels needs; pictures without an orientation are upright."""
+    turn = F.coalesce("orientation", F.lit(1)) if "orientation" in images.columns else F.lit(1)
+    return ["file", "height", "width", "nChannels", "data", turn.alias("orientation")]
+
+
 def crops(entries: DataFrame, padding: float = 0.1) -> DataFrame:
     """file, box_id, confidence, crop(x1, y1, x2, y2) of every box; boxes whose padded crop is empty drop out and keep
     no one else's place, as boxes go by their id."""
@@ -93,13 +99,13 @@ def classify(entries: DataFrame, images: DataFrame, make_classifier: Callable[[]
     if make_classifier is None:
         return boxes.select("file", "box_id", "confidence", F.lit("unknown_fish").alias("species"), F.lit(0.0).alias("class_confidence"), F.create_map().cast("map<string,double>").alias("probabilities"))
     per = boxes.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("box_id", "confidence", "crop"))).alias("boxes"))
-    joined = images.select("file", "height", "width", "nChannels", "data").join(per, "file")
+    joined = images.select(*pixel_columns(images)).join(per, "file")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make_classifier()
         for frame in frames:
             for r in frame.itertuples():
-                a = pixels(r.data, r.height, r.width, r.nChannels)
+                a = upright(pixels(r.data, r.height, r.width, r.nChannels), int(r.orientation or 1))
                 cut = [a[c["crop"]["y1"] : c["crop"]["y2"], c["crop"]["x1"] : c["crop"]["x2"]] for c in r.boxes]
                 rows = [(r.file, b["box_id"], b["confidence"], s, float(p), dict(q)) for b, (s, p, q) in zip(r.boxes, model(cut))]
                 yield pd.DataFrame(rows, columns=["file", "box_id", "confidence", "species", "class_confidence", "probabilities"])
@@ -137,8 +143,11 @@ def merged(boxes: np.ndarray, iou: float = 0.5) -> np.ndarray:
 
 def score_tiled(images: DataFrame, make_scorer: Callable[[], Scorer], size: int = 512, overlap: float = 0.3, iou: float = 0.5, floor: float = RECORDING_FLOOR) -> DataFrame:
     """file, x1, y1, x2, y2, confidence in full-image coordinates: every tile is scored, overlaps are merged per image."""
-    tiles = tile_grid(images, size, overlap).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("ty", "tx"))).alias("tiles"))
-    joined = images.select("file", "height", "width", "nChannels", "data").join(tiles, "file")
+    turned = F.coalesce("orientation", F.lit(1)).isin(5, 6, 7, 8)  # the tiles are those of the upright picture
+    with_turn = images.select(*pixel_columns(images))
+    seen = with_turn.select("file", F.when(turned, F.col("height")).otherwise(F.col("width")).alias("width"), F.when(turned, F.col("width")).otherwise(F.col("height")).alias("height"))
+    tiles = tile_grid(seen, size, overlap).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("ty", "tx"))).alias("tiles"))
+    joined = with_turn.join(tiles, "file")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
@@ -146,7 +155,7 @@ def score_tiled(images: DataFrame, make_scorer: Callable[[], Scorer], size: int
             for r in frame.itertuples():
                 if r.data is None:
                     continue
-                a = pixels(r.data, r.height, r.width, r.nChannels)
+                a = upright(pixels(r.data, r.height, r.width, r.nChannels), int(r.orientation or 1))
                 found = scorer([a[t["ty"] : t["ty"] + size, t["tx"] : t["tx"] + size] for t in r.tiles])
                 rows = [(b[0] + t["tx"], b[1] + t["ty"], b[2] + t["tx"], b[3] + t["ty"], b[4]) for t, bs in zip(r.tiles, found) for b in bs if b[4] >= floor]
                 out = pd.DataFrame(merged(np.array(rows, float).reshape(-1, 5), iou), columns=["x1", "y1", "x2", "y2", "confidence"])

@@ -12,10 +12,11 @@ from ..operators import evaluate as E
 from ..operators import sampling as P
 from ..sources import runs, tables as T
 from .queries_report import _BB, _ZB, CUTS, RECORDS, records
+from .shared import written
 
 Q: dict = {}
 SQL: dict[str, str] = {}
-ROUNDS = 200
+ROUNDS = 2_000
 
 
 def query(sql: str | None = None):
@@ -131,9 +132,25 @@ _SWEEP = f"""{EV}, c AS (SELECT threshold, 'frame' AS level, {_FC} FROM ef, th G
 m AS (SELECT *, 'precision' AS metric, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS estimate FROM c UNION ALL SELECT *, 'recall', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END FROM c)"""
 
 
-@query(f"{_SWEEP} SELECT threshold, level, metric, round(estimate, 6) AS estimate FROM m")
+_PARTS = f"""fp_ AS (SELECT frame_id, threshold, 'frame' AS level, ({_FLAG} AND has_fish)::INT AS tp, ({_FLAG} AND NOT has_fish)::INT AS fp, (NOT {_FLAG} AND has_fish)::INT AS fn FROM ef, th
+  UNION ALL SELECT frame_id, threshold, 'box', sum(({_P0} AND is_fish)::INT), sum(({_P0} AND NOT is_fish)::INT), sum((conf IS NULL OR (NOT {_P0} AND is_fish))::INT) FROM eb, th GROUP BY ALL),
+num AS (SELECT frame_id, band, weight, row_number() OVER (PARTITION BY band ORDER BY frame_id) - 1 AS i, count(*) OVER (PARTITION BY band) AS size FROM ef),
+dr AS (SELECT replicate, band, {T.H.format("'20260923|' || replicate || '|' || band || '|' || slot")} % size AS i FROM (SELECT band, i AS slot, size FROM num), range({E.SWEEP_ROUNDS}) r(replicate)),
+per AS (SELECT replicate, threshold, level, sum(weight * tp) AS tp, sum(weight * fp) AS fp, sum(weight * fn) AS fn FROM dr JOIN num USING (band, i) JOIN fp_ USING (frame_id) GROUP BY ALL),
+vals AS (SELECT threshold, level, 'precision' AS metric, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS v FROM per UNION ALL SELECT threshold, level, 'recall', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END FROM per),
+lists AS (SELECT threshold, level, metric, list_sort(list(v) FILTER (v IS NOT NULL)) AS l FROM vals GROUP BY ALL),
+ci AS (SELECT threshold, level, metric, CASE WHEN len(l) >= {E.SWEEP_ROUNDS // 4} THEN l[floor(0.025::DOUBLE * len(l))::INT + 1] END AS low, CASE WHEN len(l) >= {E.SWEEP_ROUNDS // 4} THEN l[least(len(l) - 1, floor(0.975::DOUBLE * len(l))::INT) + 1] END AS high FROM lists)"""
+
+
+@query(f"{_SWEEP}, {_PARTS} SELECT threshold, level, metric, round(estimate, 6) AS estimate, round(CASE WHEN estimate IS NOT NULL THEN low END, 6) AS low, round(CASE WHEN estimate IS NOT NULL THEN high END, 6) AS high, (SELECT count(*) FROM ef) AS n_frames FROM m LEFT JOIN ci USING (threshold, level, metric)")
 def a12_threshold_sweep(spark, d):
-    return rounded(E.sweep(eval_frames(spark, d), eval_boxes(spark, d)).select("threshold", "level", "metric", "estimate"), "estimate")
+    return rounded(sweep_with_intervals(spark, d).select("threshold", "level", "metric", "estimate", "low", "high", "n_frames"), "estimate", "low", "high")
+
+
+def sweep_with_intervals(spark: SparkSession, d: str) -> DataFrame:
+    frames = written(eval_frames(spark, d), "eval-frames")
+    boxes = written(label_boxes(spark, d).join(frames.select("frame_id"), "frame_id", "left_semi"), "eval-boxes")
+    return E.sweep(frames, boxes, rounds=E.SWEEP_ROUNDS)
 
 
 @query(f"{_SWEEP} SELECT threshold, round(tp + fp, 4) AS est_frames_flagged FROM m WHERE level = 'frame' AND metric = 'recall'")
@@ -142,10 +159,13 @@ def a37_estimated_frames_flagged(spark, d):
     return rounded(s.select("threshold", "est_frames_flagged"), "est_frames_flagged", places=4)
 
 
-@query(f"{_SWEEP} SELECT threshold, level, metric, round(round(estimate, 9), 4) AS estimate, round(round(tp, 6), 1) AS weighted_tp, round(round(fp, 6), 1) AS weighted_fp, round(round(fn, 6), 1) AS weighted_fn, 'band' AS weighting FROM m")
+@query(
+    f"{_SWEEP}, {_PARTS} SELECT threshold, level, metric, round(round(estimate, 9), 4) AS estimate, round(round(CASE WHEN estimate IS NOT NULL THEN low END, 9), 4) AS ci_low, round(round(CASE WHEN estimate IS NOT NULL THEN high END, 9), 4) AS ci_high, "
+    "round(round(tp, 6), 1) AS weighted_tp, round(round(fp, 6), 1) AS weighted_fp, round(round(fn, 6), 1) AS weighted_fn, 'band' AS weighting, (SELECT count(*) FROM ef) AS n_frames FROM m LEFT JOIN ci USING (threshold, level, metric)"
+)
 def k06_sweep_sheet(spark, d):
-    s = E.sweep(eval_frames(spark, d), eval_boxes(spark, d)).withColumns({"estimate": F.round("estimate", 9), **{c: F.round(c, 6) for c in ("tp", "fp", "fn")}})
-    return E.sweep_sheet(s).select("threshold", "level", "metric", "estimate", "weighted_tp", "weighted_fp", "weighted_fn", "weighting")
+    s = sweep_with_intervals(spark, d).withColumns({**{c: F.round(c, 9) for c in ("estimate", "low", "high")}, **{c: F.round(c, 6) for c in ("tp", "fp", "fn")}})
+    return E.sweep_sheet(s).select("threshold", "level", "metric", "estimate", "ci_low", "ci_high", "weighted_tp", "weighted_fp", "weighted_fn", "weighting", "n_frames")
 
 
 _Z = "1.96::DOUBLE"
@@ -390,7 +410,14 @@ def k04_sample_sheet(spark, d):
     return P.sample_sheet(P.stratified_sample(r, 300)[0], extra)
 
 
-@query()
+_COUNTS = "SELECT 'band' AS dimension, conf_band AS g, count(*) AS n FROM picked GROUP BY ALL UNION ALL SELECT 'camera', camera, count(*) FROM picked GROUP BY ALL UNION ALL SELECT 'folder', folder, count(*) FROM picked GROUP BY ALL"
+
+
+@query(
+    f"{_U08}, cnt AS ({_COUNTS}), txt AS (SELECT string_agg('{{\"dimension\":\"' || dimension || '\",\"group\":\"' || g || '\",\"n\":' || n || '}}', ',' ORDER BY dimension, g) AS t FROM cnt), "
+    "q AS (SELECT round(b[n // 3 + 1], 1) AS b1, round(b[2 * n // 3 + 1], 1) AS b2, round(z[n // 3 + 1], 1) AS z1, round(z[2 * n // 3 + 1], 1) AS z2, n FROM cuts) "
+    "SELECT '{\"seed\":20260922,\"population\":' || n || ',\"brightness_cuts\":[' || b1 || ',' || b2 || '],\"blur_cuts\":[' || z1 || ',' || z2 || '],\"band_quotas\":{\"none\":90,\"low\":70,\"mid\":70,\"high\":70},\"counts\":[' || t || ']}' AS meta FROM q, txt"
+)
 def k05_sample_meta(spark, d):
     return P.sample_meta(*P.stratified_sample(records(spark, d), 300))
 
@@ -468,9 +495,16 @@ def u07_predicates_as_columns(spark, d):
     return records(spark, d).filter(test).select("frame_id")
 
 
-@query()
+_ROWTEXT = "'{\"box_no\":' || box_no || ',\"conf_milli\":' || coalesce(conf_milli::VARCHAR, 'null') || ',\"frame_id\":\"' || frame_id || '\",\"is_fish\":' || is_fish || '}'"
+
+
+@query(
+    f"{EV}, r AS (SELECT box_no, round(conf * 1000)::BIGINT AS conf_milli, frame_id, is_fish FROM labels_ JOIN frames USING (n)), h AS (SELECT sha256({_ROWTEXT}) AS s FROM r), p AS (SELECT ('0x' || substr(s, 1, 15))::BIGINT AS a, ('0x' || substr(s, 16, 15))::BIGINT AS b FROM h) "
+    "SELECT count(*) AS rows, sha256(count(*) || '|' || sum(a)::HUGEINT || '|' || bit_xor(b) || '|' || sum(b)::HUGEINT) AS digest FROM p"
+)
 def a35_label_fingerprint(spark, d):
-    return P.fingerprint(label_boxes(spark, d), ["frame_id", "box_no", "conf", "is_fish"])
+    rows = label_boxes(spark, d).withColumn("conf_milli", F.round(F.col("conf") * 1000).cast("long"))
+    return P.fingerprint(rows, ["frame_id", "box_no", "conf_milli", "is_fish"])
 
 
 _JOINT = "band || '|' || folder"
@@ -482,20 +516,68 @@ def a17_raking_one_margin(spark, d):
     return rounded(w.select("frame_id", "weight"), "weight")
 
 
-@query()
+#: The margins of each set, as SQL over the columns of a frame, from the richest to the plainest set.
+_MARGINS = {
+    "band x folder + brightness + blur + large": [_JOINT, "'b:' || brightness_bin", "'z:' || blur_bin", "'L:' || large_box"],
+    "band x folder + brightness + blur": [_JOINT, "'b:' || brightness_bin", "'z:' || blur_bin"],
+    "band x folder + large": [_JOINT, "'L:' || large_box"],
+    "band x folder": [_JOINT],
+    "band + folder": ["band", "folder"],
+    "band": ["band"],
+}
+_POPULATION = f"pop AS (SELECT conf_band AS band, folder, {_BB} AS brightness_bin, {_ZB} AS blur_bin, large_box FROM records), smp AS (SELECT frame_id, band, folder, brightness_bin, blur_bin, max_area_frac >= 0.10 AS large_box FROM ef)"
+
+
+def _rake_sql(out: str, margins: list[str], rounds: int) -> str:
+    """CTEs that end in `out` (c0.., n, w): weights of the sample's cell tuples after so many rounds over all margins, one
+    margin per step of a recursion."""
+    m = len(margins)
+    cells = ", ".join(f"{e} AS c{k}" for k, e in enumerate(margins))
+    names = ", ".join(f"c{k}" for k in range(m))
+    totals = ", ".join(f"{out}_p{k} AS (SELECT {e} AS c{k}, count(*)::DOUBLE AS t{k} FROM pop GROUP BY 1)" for k, e in enumerate(margins))
+    joins = " ".join(f"LEFT JOIN {out}_p{k} USING (c{k})" for k in range(m))
+    pick = lambda c: "CASE i % " + str(m) + " " + " ".join(f"WHEN {k} THEN {c}{k}" for k in range(m)) + " END"
+    ts = ", ".join(f"t{k}" for k in range(m))
+    return (
+        f"{totals}, {out}_s AS (SELECT {names}, count(*)::DOUBLE AS n FROM (SELECT {cells} FROM smp) GROUP BY {names}), "
+        f"{out}_0 AS (SELECT {names}, n, {ts}, coalesce(t0 / sum(n) OVER (PARTITION BY c0), 0.0) AS w FROM {out}_s {joins}), "
+        f"{out}_r AS (SELECT 0 AS i, * FROM {out}_0 UNION ALL SELECT i + 1, {names}, n, {ts}, CASE WHEN tk IS NULL OR have <= 0 OR tk <= 0 THEN w ELSE w * (tk / have) END FROM "
+        f"(SELECT *, {pick('t')} AS tk, sum(CASE WHEN {pick('t')} IS NOT NULL THEN w * n ELSE 0.0 END) OVER (PARTITION BY {pick('c')}) AS have FROM {out}_r WHERE i < {rounds * m})), "
+        f"{out} AS (SELECT * FROM {out}_r WHERE i = {rounds * m})"
+    )
+
+
+def _raked(*ctes: str) -> str:
+    return f"{EV.replace('WITH ', 'WITH RECURSIVE ', 1)}, {_POPULATION}, " + ", ".join(ctes)
+
+
+_RICHEST = next(iter(_MARGINS.values()))
+
+
+@query(f"{_raked(_rake_sql('rk', _RICHEST, K.ROUNDS))} SELECT frame_id, round(w, 6) AS weight FROM (SELECT frame_id, {', '.join(f'{e} AS c{k}' for k, e in enumerate(_RICHEST))} FROM smp) JOIN rk USING ({', '.join(f'c{k}' for k in range(len(_RICHEST)))})")
 def a17_raking_all_margins(spark, d):
-    return rounded(K.with_raked_weights(eval_frames(spark, d), population(spark, d)).select("frame_id", "weight"), "weight")
+    """Every round is run (tolerance 0), so the weights don't depend on where a rounding error ends the loop."""
+    return rounded(K.with_raked_weights(eval_frames(spark, d), population(spark, d), tolerance=0.0).select("frame_id", "weight"), "weight")
 
 
-@query()
+@query(
+    f"{_raked(*(_rake_sql(f'rk{k}', m, K.ROUNDS) for k, m in enumerate(_MARGINS.values())))}, sizes AS ({' UNION ALL '.join(f'SELECT {k} AS k, {name!r} AS margins, coalesce(sum(n * w) * sum(n * w) / nullif(sum(n * w * w), 0), 0.0) AS effective_n, sum(n) AS total FROM rk{k}' for k, name in enumerate(_MARGINS))}), "
+    f"best AS (SELECT * FROM sizes ORDER BY CASE WHEN effective_n >= {K.LEAST_EFFECTIVE} * total THEN 0 ELSE 1 END, CASE WHEN effective_n >= {K.LEAST_EFFECTIVE} * total THEN k ELSE -effective_n END LIMIT 1) SELECT margins, round(effective_n, 4) AS effective_n, total::BIGINT AS n FROM best"
+)
 def a19_choose_margins(spark, d):
-    name, _, effective = K.choose_margins(eval_frames(spark, d), population(spark, d))
-    return eval_frames(spark, d).agg(F.lit(name).alias("margins"), F.round(F.lit(effective), 4).alias("effective_n"), F.count("*").alias("n"))
+    frames = written(eval_frames(spark, d), "eval-frames")
+    name, _, effective = K.choose_margins(frames, population(spark, d), tolerance=0.0)
+    return frames.agg(F.lit(name).alias("margins"), F.round(F.lit(effective), 4).alias("effective_n"), F.count("*").alias("n"))
 
 
-@query()
+@query(
+    f"{EV}, tj AS (SELECT conf_band || '|' || folder AS cell, count(*)::DOUBLE AS t FROM records GROUP BY 1), num AS (SELECT *, {_JOINT} AS cell, row_number() OVER (PARTITION BY band ORDER BY frame_id) - 1 AS i, count(*) OVER (PARTITION BY band) AS size FROM ef), "
+    f"dr AS (SELECT replicate, band, {T.H.format(chr(39) + '20260923|' + chr(39) + ' || replicate || ' + chr(39) + '|' + chr(39) + ' || band || ' + chr(39) + '|' + chr(39) + ' || slot')} % size AS i FROM (SELECT band, i AS slot, size FROM num), range({ROUNDS}) r(replicate)), "
+    "w AS (SELECT replicate, has_fish, max_conf, t / count(*) OVER (PARTITION BY replicate, cell) AS weight FROM dr JOIN num USING (band, i) JOIN tj USING (cell)), "
+    f"v AS (SELECT replicate, {_prec(0.25)} AS value FROM w GROUP BY 1) SELECT {_LOW} AS low, {_HIGH} AS high, len(l) AS defined FROM (SELECT {_bounds('value')} AS l)"
+)
 def a22_reraked_bootstrap(spark, d):
     f, p = eval_frames(spark, d), population(spark, d)
-    drawn = B.reraked_draws(f.select("frame_id", "band", "folder", "has_fish", "max_conf"), p, [F.concat_ws("|", "band", "folder")], 40, 20260923)
+    drawn = B.reraked_draws(f.select("frame_id", "band", "folder", "has_fish", "max_conf"), p, [F.concat_ws("|", "band", "folder")], ROUNDS, 20260923)
     per = drawn.groupBy("replicate").agg(E.statistic("frame_precision", 0.25).alias("value"))
-    return B.interval(per, "value", 40)
+    return rounded(B.interval(per, "value", ROUNDS).withColumn("defined", F.col("defined").cast("long")), "low", "high")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_catalog, queries_evaluate, queries_report, queries_sources
+from . import queries_catalog, queries_evaluate, queries_files, queries_report, queries_sources
 
-MODULES = (queries_report, queries_catalog, queries_evaluate, queries_sources)
+MODULES = (queries_report, queries_catalog, queries_evaluate, queries_sources, queries_files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

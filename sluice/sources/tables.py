@@ -6,6 +6,8 @@ documents, observations from labels and conversations.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from ..functions.scalars import area_fraction, keyed_hash
 
 WIDTH, HEIGHT = 4000, 3000
 BOX_W, BOX_H = 30, 20
+#: The days whose frames were reviewed by hand.
+LABELLED = (datetime(1996, 1, 1), datetime(1996, 2, 29))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +37,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((keyed_hash(F.lit("b"), "o_orderkey") % 2560) / F.lit(10.0)).alias("brightness"),
         ((keyed_hash(F.lit("z"), "o_orderkey") % 2000) / F.lit(10.0)).alias("blur"),
         F.when(F.col("o_orderkey") % 97 == 0, "unreadable").alias("error"),
-        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("taken"),
     )
 
 
@@ -65,10 +69,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviewed frames: n, source, frame, frame_id, excluded (yes or no)."""
+    """Reviewed frames: n, source, frame, frame_id, excluded (yes or no): those of the days that were labelled by hand."""
     f = frames(spark, sf_dir)
     out = (F.col("priority") == "5-LOW") & (F.col("n") % 11 == 0)
-    return f.filter((keyed_hash(F.lit("s"), "n") % 50 == 0) & F.col("error").isNull()).select(
+    return f.filter(F.col("taken").between(*map(F.lit, LABELLED)) & F.col("error").isNull()).select(
         "n", "source", "frame", "frame_id", F.when(out, "yes").otherwise("no").alias("excluded")
     )
 
@@ -77,11 +81,11 @@ H = "('0x' || substr(md5({}), 1, 15))::BIGINT"
 
 SQL_FRAMES = f"""frames AS (
   SELECT n, source, frame, source || '/' || frame AS frame_id, {WIDTH}::BIGINT AS width, {HEIGHT}::BIGINT AS height,
-    (hb % 2560) / 10.0::DOUBLE AS brightness, (hz % 2000) / 10.0::DOUBLE AS blur, error, priority
+    (hb % 2560) / 10.0::DOUBLE AS brightness, (hz % 2000) / 10.0::DOUBLE AS blur, error, priority, taken
   FROM (SELECT o_orderkey AS n, 'RUN' || (o_custkey % 2) AS source,
       CASE WHEN o_custkey % 3 = 0 THEN 'Primary' ELSE 'Predator' END || ' camera/DCIM/' || (o_custkey % 8 + 100) || 'CARD/IMG' || o_orderkey || '.JPG' AS frame,
       {H.format("'b' || o_orderkey")} AS hb, {H.format("'z' || o_orderkey")} AS hz,
-      CASE WHEN o_orderkey % 97 = 0 THEN 'unreadable' END AS error, o_orderpriority AS priority FROM orders))"""
+      CASE WHEN o_orderkey % 97 = 0 THEN 'unreadable' END AS error, o_orderpriority AS priority, o_orderdate AS taken FROM orders))"""
 
 SQL_BOXES = f"""boxes AS (
   SELECT n, box_no, x1, y1, x2, y2, confidence, (greatest(0, x2 - x1)::DOUBLE * greatest(0, y2 - y1)::DOUBLE) / {WIDTH * HEIGHT}.0::DOUBLE AS area_frac,
@@ -98,4 +102,4 @@ SQL_LABELS = """labels_ AS (SELECT n, box_no, x1, y1, x2, y2, CASE WHEN NOT draw
   FROM (SELECT *, (l_tax = 0.08 AND l_returnflag = 'A') AS drawn FROM boxes))"""
 
 SQL_REVIEWED = f"""reviewed AS (SELECT n, source, frame, frame_id, CASE WHEN priority = '5-LOW' AND n % 11 = 0 THEN 'yes' ELSE 'no' END AS excluded
-  FROM frames WHERE {H.format("'s' || n")} % 50 = 0 AND error IS NULL)"""
+  FROM frames WHERE taken BETWEEN TIMESTAMP '{LABELLED[0]}' AND TIMESTAMP '{LABELLED[1]}' AND error IS NULL)"""

@@ -1,4 +1,9 @@
-"""Structured Streaming forms of the polling loops: live counts, settled folders, tag changes, exactly-once pulls."""
+"""Structured Streaming forms of the polling loops: live counts, settled folders, tag changes, exactly-once pulls, folder
+ingest, and the review set.
+
+The loops that keep tables run in foreachBatch. Each batch writes its own folder, `epoch=<n>`, and overwrites it, and
+reads only the folders of earlier batches: a batch that is run again after a loss leaves what the first run left.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +13,12 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.catalog import new_rows, resolve_sessions
+from ..sources.files import is_image
+
 
 def binned_counts(events: DataFrame, ts: str = "ts", species: str = "species", width: str = "60 minutes", late: str = "10 minutes") -> DataFrame:
     """Tumbling counts per species. On a stream, rows later than the watermark are dropped and a bin comes out once."""
@@ -30,19 +39,63 @@ def settled_folders(files: DataFrame, gap: str = "20 seconds") -> DataFrame:
     return grouped.select("folder", F.col("w.start").alias("first_change"), F.col("w.end").alias("settled_at"), "files")
 
 
-def first_of_each(rows: DataFrame, key: str, seen: DataFrame | None = None) -> DataFrame:
-    """Rows whose key has not come before: state on a stream, plus an anti-join with keys taken earlier."""
-    once = rows.dropDuplicates([key])
+def first_of_each(rows: DataFrame, key: str, seen: DataFrame | None = None, ts: str | None = None, late: str = "1 day") -> DataFrame:
+    """Rows whose key has not come before, plus an anti-join with keys taken earlier. On a stream, ts (its event time)
+    bounds the state: a key is remembered for `late`; without an event time use pull_once, whose state is its table."""
+    if rows.isStreaming:
+        if ts is None:
+            raise ValueError("a stream needs an event time, or pull_once")
+        once = rows.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+    else:
+        once = rows.dropDuplicates([key])
     return once if seen is None else once.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def tag_changes_stream(tags: DataFrame, seed: DataFrame | None = None) -> DataFrame:
+class Epochs:
+    """A table in folders by batch. Reading before a batch gives the rows of the batches before it."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: Any):
+        self.spark, self.path = spark, path
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/epoch=-1")
+
+    def before(self, epoch: int) -> DataFrame:
+        return self.all().filter(F.col("epoch") < epoch).drop("epoch")
+
+    def all(self) -> DataFrame:
+        return self.spark.read.option("basePath", self.path).parquet(self.path)
+
+    def put(self, rows: DataFrame, epoch: int) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
+        return self.spark.read.parquet(f"{self.path}/epoch={epoch}")
+
+
+def started(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def pull_once(stream: DataFrame, key: str, store: str, checkpoint: str) -> StreamingQuery:
+    """Keep the first row of every key that the stream brings, in `store`. The table itself is the memory: no state grows
+    in the stream. Of rows that share a key in one batch, one is kept; a null key is no key, its rows are left out."""
+    table = Epochs(stream.sparkSession, store, stream.schema)
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        fresh = batch.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        table.put(fresh.join(table.before(epoch).select(key), key, "left_anti").select(*batch.columns), epoch)
+
+    return started(stream, each, checkpoint)
+
+
+def tag_changes_stream(tags: DataFrame, seed: DataFrame | None = None, order: str | None = None) -> DataFrame:
     """(image_id, tags) rows whose tag set differs from the last one seen; the first sight of an image seeds it.
 
+    order: a column by which several snapshots of an image in one batch follow each other. Snapshots that are older than
+    the last one seen are passed over. Without it such snapshots are taken by their tags.
     seed: image_id, tags known before the stream starts; it is bounded by what the caller passes as one DataFrame of
-    the latest snapshot and joined to the stream, so a known image emits on its first difference.
+    the latest snapshot and joined to the stream, so a known image emits on its first difference. State is kept per
+    image, as the loop's table of known tags is.
     """
-    ordered = tags.select("image_id", F.array_sort(F.array_distinct("tags")).alias("tags"))
+    at = F.col(order).cast("double") if order else F.lit(0.0)
+    ordered = tags.select("image_id", F.array_sort(F.array_distinct("tags")).alias("tags"), at.alias("at"))
     if seed is not None:
         known = seed.select("image_id", F.array_sort(F.array_distinct("tags")).alias("known"))
         ordered = ordered.join(known, "image_id", "left")
@@ -50,20 +103,24 @@ def tag_changes_stream(tags: DataFrame, seed: DataFrame | None = None) -> DataFr
         ordered = ordered.withColumn("known", F.lit(None).cast("array<string>"))
 
     def step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = list(state.get[0]) if state.exists else None
+        last, seen = (list(state.get[0]), state.get[1]) if state.exists else (None, float("-inf"))
+        rows = [
+            (t, list(now) if now is not None else [], known) for f in frames for t, now, known in zip(f["at"], f["tags"], f["known"])
+        ]  # one image's snapshots of one batch
         out = []
-        for frame in frames:
-            for now, known in zip(frame["tags"], frame["known"]):
-                now = list(now) if now is not None else []
-                before = last if last is not None else (list(known) if known is not None else None)
-                if before is not None and now != before:
-                    out.append({"image_id": key[0], "tags": now})
-                last = now
-        state.update((last,))
+        for t, now, known in sorted(rows, key=lambda r: (r[0], r[1])):
+            if t < seen:
+                continue
+            before = last if last is not None else (list(known) if known is not None else None)
+            if before is not None and now != before:
+                out.append({"image_id": key[0], "tags": now})
+            last, seen = now, t
+        if last is not None:
+            state.update((last, seen))
         yield pd.DataFrame(out, columns=["image_id", "tags"])
 
     return ordered.groupBy("image_id").applyInPandasWithState(
-        step, "image_id long, tags array<string>", "tags array<string>", "append", GroupStateTimeout.NoTimeout
+        step, "image_id long, tags array<string>", "tags array<string>, at double", "append", GroupStateTimeout.NoTimeout
     )
 
 
@@ -73,19 +130,81 @@ def tag_changes(before: DataFrame, now: DataFrame) -> DataFrame:
     return sets(now, "tags").join(sets(before, "_old"), "image_id").filter(~F.col("tags").eqNullSafe(F.col("_old"))).select("image_id", "tags")
 
 
-def ingest_folders(spark: SparkSession, files: DataFrame, checkpoint: str, ingest: Callable[[DataFrame, int], None], push: Callable[[DataFrame, int], None]):
-    """Run `ingest` then `push` on every micro-batch of new files. A push that fails is reported, the ingest stands."""
+SESSIONS, IMAGES = "session_id long, label string", "session_id long, original_name string, file_path string"
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        ingest(batch, epoch)
+
+class FolderIngest:
+    """The drop folder as a stream: session rows, image rows, then labelling tasks of what is new.
+
+    files: path (and what else the listing has). A folder is a session by its label, known ones keep their id; of an
+    image that is known already no second row is made. A push that fails leaves the ingest standing: its tasks stay
+    pending, and every later batch, or `push_pending`, tries them again.
+    """
+
+    def __init__(self, spark: SparkSession, store: str, push: Callable[[DataFrame], None], url_root: str = "/data"):
+        self.push, self.url_root = push, url_root
+        self.sessions, self.images = Epochs(spark, f"{store}/sessions", SESSIONS), Epochs(spark, f"{store}/images", IMAGES)
+        self.tasks = Epochs(spark, f"{store}/tasks", "file_path string, url string")
+        self.pushed = Epochs(spark, f"{store}/pushed", "file_path string")
+
+    def ingest(self, batch: DataFrame, epoch: int) -> None:
+        found = batch.filter(is_image("path")).select(
+            F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), F.regexp_extract("path", "([^/]*?)(?:\\.[^./]*)?$", 1).alias("original_name"), F.col("path").alias("file_path")
+        )
+        known = self.sessions.before(epoch)
+        placed = resolve_sessions(found.select("folder").distinct(), known)
+        fresh = placed.filter("is_new").select("session_id", F.col("folder").alias("label"))
+        self.sessions.put(fresh, epoch)
+        ids = placed.select("folder", "session_id")
+        rows = found.join(ids, "folder").select("session_id", "original_name", "file_path")
+        one = rows.groupBy("session_id", "original_name").agg(F.max("file_path").alias("file_path"))
+        added = self.images.put(new_rows(one, self.images.before(epoch), ["session_id", "original_name"]), epoch)
+        self.tasks.put(added.select("file_path", F.concat(F.lit(f"{self.url_root}/"), "file_path").alias("url")), epoch)
+
+    def push_pending(self, epoch: int) -> bool:
+        """Push the tasks that no push has taken yet; False if the push failed."""
+        waiting = self.tasks.all().drop("epoch").join(self.pushed.before(epoch).select("file_path"), "file_path", "left_anti")
         try:
-            push(batch, epoch)
+            self.push(waiting)
         except Exception as problem:  # noqa: BLE001 - the labelling service may be away; the ingest must stand
-            print(f"push of batch {epoch} failed: {problem}")
+            print(f"push at batch {epoch} failed, its tasks stay pending: {problem}")
+            return False
+        self.pushed.put(waiting.select("file_path"), epoch)
+        return True
+
+    def each(self, batch: DataFrame, epoch: int) -> None:
+        self.ingest(batch, epoch)
+        self.push_pending(epoch)
 
-    return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def run(self, files: DataFrame, checkpoint: str) -> StreamingQuery:
+        return started(files, self.each, checkpoint)
 
 
 def add_and_prune(known: DataFrame, valid: DataFrame, key: str = "image_id") -> tuple[DataFrame, DataFrame]:
     """(to add, to remove) so that the review set holds exactly the valid rows."""
     return valid.join(known, key, "left_anti"), known.join(valid, key, "left_anti")
+
+
+def review_set(changes: DataFrame, key: str, store: str, checkpoint: str) -> StreamingQuery:
+    """Keep the review set in `store` as changes arrive: rows of key, valid (boolean) and seq, their order.
+
+    The last change of a key decides. Every batch writes what it adds and removes; `review_members` is the set that
+    results. A null valid removes.
+    """
+    spark = changes.sparkSession
+    log = Epochs(spark, store, changes.select(key).withColumn("change", F.lit("")).schema)
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        last = batch.groupBy(key).agg(F.max_by("valid", "seq").alias("valid"))
+        known = review_members(log, key, epoch)
+        wanted = known.join(last.filter("NOT coalesce(valid, false)"), key, "left_anti").unionByName(last.filter("valid").select(key)).distinct()
+        add, drop = add_and_prune(known, wanted, key)
+        log.put(add.select(key, F.lit("add").alias("change")).unionByName(drop.select(key, F.lit("remove").alias("change"))), epoch)
+
+    return started(changes.select(key, "valid", "seq"), each, checkpoint)
+
+
+def review_members(log: Epochs, key: str, epoch: int | None = None) -> DataFrame:
+    """Keys in the set before a batch, or now: those whose last change is an addition."""
+    rows = log.all() if epoch is None else log.all().filter(F.col("epoch") < epoch)
+    return rows.groupBy(key).agg(F.max_by("change", "epoch").alias("_c")).filter("_c = 'add'").select(key)

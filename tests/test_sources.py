@@ -146,15 +146,39 @@ def test_live_counts_equal_the_batch_twin(spark, tmp_path):
 
 
 def test_settled_folders_and_first_of_each(spark, tmp_path):
-    rows = spark.createDataFrame([("/d/a/1.jpg", 0), ("/d/a/2.jpg", 10), ("/d/b/3.jpg", 100), ("/d/b/3.jpg", 100)], "path string, t long").select("path", F.timestamp_seconds("t").alias("modificationTime"))
+    rows = spark.createDataFrame([("/d/a/1.jpg", 1000), ("/d/a/2.jpg", 1010), ("/d/b/3.jpg", 1100), ("/d/b/3.jpg", 1100)], "path string, t long").select("path", F.timestamp_seconds("t").alias("modificationTime"))
     got = {(r.folder, r.files) for r in live.settled_folders(rows).collect()}
     assert got == {("a", 2), ("b", 2)}
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    assert len(run_stream(spark, live.first_of_each(stream, "path"), "once", tmp_path)) == 3
+    assert len(run_stream(spark, live.first_of_each(stream, "path", ts="modificationTime"), "once", tmp_path)) == 3
+    assert {(r.folder, r.files) for r in run_stream(spark, live.settled_folders(stream), "settled", tmp_path)} == {("a", 2)}
+    with pytest.raises(ValueError):
+        live.first_of_each(stream, "path")
     assert live.first_of_each(rows, "path", rows.filter("path LIKE '%1.jpg'")).count() == 2
 
 
+def in_batches(spark, folder, schema, *batches):
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_pulls_are_exactly_once(spark, tmp_path):
+    stream = in_batches(spark, tmp_path / "in", "id long, v string", [(1, "a"), (1, "a"), (None, "x")], [(2, "b"), (1, "again")], [])
+    live.pull_once(stream, "id", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_review_set_follows_the_last_change(spark, tmp_path):
+    batches = [(1, True, 1), (2, True, 2)], [(2, False, 3), (3, True, 4), (3, None, 5)], [(3, True, 6), (1, True, 7)]
+    stream = in_batches(spark, tmp_path / "in", "image_id long, valid boolean, seq long", *batches)
+    live.review_set(stream, "image_id", str(tmp_path / "set"), str(tmp_path / "cp")).awaitTermination(120)
+    log = live.Epochs(spark, str(tmp_path / "set"), "image_id long, change string")
+    assert sorted(r.image_id for r in live.review_members(log, "image_id").collect()) == [1, 3]
+    assert log.all().filter("image_id = 1").count() == 1  # a change to what it is already adds nothing
+
+
 def test_tag_changes_stream(spark, tmp_path):
     schema = "image_id long, tags array<string>"
     spark.createDataFrame([(1, ["a", "b"]), (2, ["x"]), (3, ["new"])], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
@@ -165,16 +189,28 @@ def test_tag_changes_stream(spark, tmp_path):
     assert {r.image_id for r in live.tag_changes(seed, spark.read.parquet(str(tmp_path / "in"))).collect()} == {2}
 
 
-def test_ingest_stands_when_the_push_fails(spark, tmp_path):
-    spark.range(5).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+def test_tag_snapshots_of_one_batch_follow_their_order(spark, tmp_path):
+    rows = [(1, ["a"], 3), (1, ["b"], 2), (1, ["a"], 1), (2, ["x"], 1)], [(1, ["b"], 2), (2, ["y"], 2)]
+    stream = in_batches(spark, tmp_path / "in", "image_id long, tags array<string>, seq long", *rows)
+    got = [(r.image_id, tuple(r.tags)) for r in run_stream(spark, live.tag_changes_stream(stream, order="seq"), "ordered", tmp_path)]
+    assert sorted(got) == [(1, ("a",)), (1, ("b",)), (2, ("y",))]  # the late snapshot of image 1 is passed over
 
-    def push(batch, epoch):
-        raise RuntimeError("away")
 
-    q = live.ingest_folders(spark, stream, str(tmp_path / "cp"), lambda b, e: b.write.mode("append").parquet(str(tmp_path / "out")), push)
-    q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+def test_ingest_stands_when_the_push_fails(spark, tmp_path):
+    pushed = []
+
+    def push(tasks):
+        if not pushed:
+            pushed.append(None)
+            raise RuntimeError("away")
+        pushed.extend(r.file_path for r in tasks.collect())
+
+    loop = live.FolderIngest(spark, str(tmp_path / "store"), push)
+    stream = in_batches(spark, tmp_path / "in", "path string", [("/d/W1/a.jpg",), ("/d/W1/a.png",), ("/d/W1/n.txt",)], [("/d/w1/b.jpg",), ("/d/W2/a.jpg",)])
+    loop.run(stream, str(tmp_path / "cp")).awaitTermination(120)
+    assert sorted(pushed[1:]) == ["/d/W1/a.png", "/d/W2/a.jpg", "/d/w1/b.jpg"]
+    assert {(r.session_id, r.label) for r in loop.sessions.all().collect()} == {(1, "W1"), (2, "W2")}
+    assert loop.images.all().groupBy("session_id").count().collect() and loop.push_pending(9) and len(pushed) == 4
     add, drop = live.add_and_prune(spark.createDataFrame([(1,), (2,)], "image_id long"), spark.createDataFrame([(2,), (3,)], "image_id long"))
     assert [r.image_id for r in add.collect()] == [3] and [r.image_id for r in drop.collect()] == [1]
 
