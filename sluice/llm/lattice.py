@@ -14,27 +14,27 @@ the path's number and the place in the text, so results don't depend on batches
 
 from __future__ import annotations
 
-import functools
 import heapq
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import small_batches
+from ..plans.ship import ship
+from .common import doc_texts, slices, worker_cache
 
 SAMPLES = 2
 POWER = 0.5
 SEED = 20_240
 MARK = "▁"
-#: Rows per Arrow batch: more rows share more words.
-ROWS = 512
-#: Characters whose lattices are worked on at once; one longer text is worked on whole.
-CHARS_AT_ONCE = 1_200_000
+#: Bytes of text whose lattices are worked on at once: more texts share more words. One longer text is worked on whole.
+BYTES_AT_ONCE = 1 << 20
+#: Fixed-point units of log probabilities and probabilities.
+LOG_UNIT, P_UNIT = 2.0**40, 2**52
 
 SAMPLED = "doc_id long, sample int, log_prob double, perturbed double, inclusion double, n_pieces long, ids array<int>"
 
@@ -138,24 +138,20 @@ class Pieces:
             self.expansion.append([self.bytes[b] for b in char.encode("utf-8", "replace")])
         return self.virtual[char]
 
-    def ids(self, edges: np.ndarray) -> np.ndarray:
-        """Model ids of lattice ids: virtual ones are spelled out."""
+    def ids(self, edges: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Model ids of lattice ids, virtual ones spelled out, and where places in the one row are in the other."""
         extra = np.flatnonzero(edges >= self.first_virtual)
-        if not len(extra):
-            return edges
         spelled = [self.expansion[int(v) - self.first_virtual] for v in edges[extra]]
-        counts = np.ones(len(edges), np.int64)
-        counts[extra] = [len(s) for s in spelled]
-        out = np.repeat(edges, counts)
-        starts = np.cumsum(counts) - counts
-        for at, s in zip(starts[extra], spelled):
-            out[at : at + len(s)] = s
-        return out
+        more = np.array([len(s) - 1 for s in spelled], np.int64)
+        out = edges.copy()
+        out[extra] = [s[0] for s in spelled]
+        out = np.insert(out, np.repeat(extra + 1, more), [i for s in spelled for i in s[1:]])
+        return out, bounds + np.concatenate([[0], np.cumsum(more)])[np.searchsorted(extra, bounds)]
 
 
-@functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    """One model per worker process and file."""
+    return worker_cache(f"pieces {path}", lambda: Pieces(path))
 
 
 class Lattice:
@@ -166,8 +162,8 @@ class Lattice:
         chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
         sizes = np.fromiter((len(c) + 1 for c in chunks), np.int64, len(chunks))
         ends = np.cumsum(sizes)
-        end = np.repeat(ends, sizes)
-        here, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
+        end = np.repeat(ends.astype(np.int32), sizes)
+        here, h = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), np.uint64)
         start, stop, kind = [], [], []
         for size in range(1, p.longest + 1):
             inside = here + size <= end[here]
@@ -190,16 +186,16 @@ class Lattice:
         distance = end - np.arange(len(chars))
         short = distance.max(initial=0) < 2**16
         by_distance = np.argsort(distance.astype(np.uint16) if short else distance, kind="stable")
-        rank = np.empty(len(chars), np.int64)
-        rank[by_distance] = np.arange(len(chars))
+        rank = np.empty(len(chars), np.int32)
+        rank[by_distance] = np.arange(len(chars), dtype=np.int32)
         # a node has at most one edge per length: edges go straight to their places, the longest piece first
-        degree = np.zeros(len(chars), np.int64)
+        degree = np.zeros(len(chars), np.int32)
         for at in start:
             degree[rank[at]] += 1
         first = np.concatenate([[0], np.cumsum(degree)])
         free = first[1:].copy()
         self.kind = np.empty(first[-1], np.int32)
-        node, to = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        node, to = np.empty(first[-1], np.int32), np.empty(first[-1], np.int32)
         for at, goes, v in zip(start, stop, kind):
             here = rank[at]
             free[here] -= 1
@@ -216,12 +212,15 @@ class Lattice:
             at = first[a:b] - e0
             most = np.maximum.reduceat(value, at)
             beta[a:b] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, np.diff(first[a : b + 1]))), at))
-        self.log_p = weight + beta[to] - beta[node]
-        total = np.cumsum(np.exp(self.log_p))
-        before = np.concatenate([[0.0], total])[first[:-1]]
-        self.reach = total - before[node]  # within the node; its last edge takes what rounding leaves
-        self.reach[first[1:] - 1] = 2.0
+        log_p = weight + beta[to] - beta[node]
+        # whole numbers: sums over a batch are exact, so no value depends on what else is in it
+        self.log_q = np.rint(log_p * LOG_UNIT).astype(np.int64)
+        self.p_q = np.rint(np.exp(log_p) * P_UNIT).astype(np.int64)
+        total = np.cumsum(self.p_q)
+        self.reach = total - np.concatenate([[0], total])[first[:-1]][node]  # within the node; its last edge takes what rounding leaves
+        self.reach[first[1:] - 1] = 2 * P_UNIT
         self.first, self.to, self.node = first, to, node
+        self.degree = np.repeat(degree, degree)  # choices at an edge's node
         self.root = rank[ends - sizes]
 
     def walk(self, at: np.ndarray, seed: np.ndarray, place: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +229,7 @@ class Lattice:
         length = np.zeros(len(at), np.int64)
         found, edges = [], []
         while len(who):
-            u = uniform(seed[who], stream, place[who], step)
+            u = (uniform(seed[who], stream, place[who], step) * P_UNIT).astype(np.int64)
             e = self.first[at]
             more = np.flatnonzero(u >= self.reach[e])
             while len(more):
@@ -249,93 +248,145 @@ class Lattice:
         return np.repeat(np.arange(len(length)), length), out
 
 
-def truncated(mass: np.ndarray, u: np.ndarray, limit: float) -> np.ndarray:
-    """Gumbel values of the given log masses, truncated at limit."""
+def truncated(mass: np.ndarray, u: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Gumbel values of the given log masses, truncated at limits."""
     return -np.logaddexp(-limit, np.log(-np.log(u)) - mass)
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... sizes[0] of them, then those of starts[1], and so on."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def cut_texts(p: Pieces, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct chunks of texts, the number of each chunk in a row, and where the chunks of each text start and how many."""
+    odd = pc.match_substring_regex(texts, f"^ |  |{MARK}|^$").to_numpy(zero_copy_only=False) | (not p.cuts)
+    plain, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+    cut = pc.split_pattern(texts.take(pa.array(plain)), " ")
+    others = [p.chunks(t) for t in texts.take(pa.array(rest)).to_pylist()]
+    flat = pa.concat_arrays([cut.flatten(), pa.array([c for cs in others for c in cs], pa.string())]).dictionary_encode()
+    order = np.concatenate([plain, rest])
+    count, start = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    count[order] = np.concatenate([np.diff(cut.offsets.to_numpy()), np.array([len(cs) for cs in others], np.int64)])
+    start[order] = np.cumsum(count[order]) - count[order]
+    return flat.dictionary.to_pylist(), flat.indices.to_numpy(), start, count
+
+
 def sample_texts(p: Pieces, texts: list[str], keys: list[int], samples: int) -> list[list[tuple[float, float, float, np.ndarray]]]:
     """For every text up to `samples` distinct segmentations: (log probability, perturbed value, inclusion, ids)."""
-    words = [p.chunks(t) for t in texts]
-    number: dict[str, int] = {w: k for k, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
-    seeds = np.array(keys, np.uint64)
-    roots_of = [np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) for ws in words]
+    which, *columns, ids, bounds = sample_arrays(p, pa.array(texts, pa.string()), keys, samples)
     out: list[list] = [[] for _ in texts]
-    kept: list[list] = [[] for _ in texts]  # (log probability, perturbed, edges) before the threshold is known
-    heaps: list[list] = [[] for _ in texts]
-    if not number:
-        return [[(0.0, 0.0, 1.0, np.zeros(0, np.int32))] for _ in texts]
-    lattice = Lattice(p, list(number))
-    log_p, first = lattice.log_p, lattice.first
+    for k, (d, *values) in enumerate(zip(which.tolist(), *(c.tolist() for c in columns))):
+        out[d].append((*values, ids[bounds[k] : bounds[k + 1]]))
+    return out
+
+
+def sample_arrays(p: Pieces, texts: pa.Array, keys: list[int], samples: int) -> tuple[np.ndarray, ...]:
+    """Up to `samples` distinct segmentations of every text, in order: which text, log probability, perturbed value,
+    inclusion score, and the ids of all in a row with their bounds."""
+    distinct, number, start, n_words = cut_texts(p, texts)
+    seeds = np.array(keys, np.uint64)
     top = -np.log(-np.log(uniform(seeds, 0, np.zeros(len(texts)))))
-    # a job opens a region: (document, perturbed, edges before, words of them, barred edges at the branching node)
-    jobs = [(d, float(top[d]), np.zeros(0, np.int64), np.zeros(0, np.int64), ()) for d in range(len(texts)) if len(roots_of[d])]
+    if not distinct:
+        n = len(texts)
+        return np.arange(n), np.zeros(n), top, np.ones(n), np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
+    lattice = Lattice(p, distinct)
+    first, root = lattice.first, lattice.root[number]
+    kept: list[list] = [[] for _ in texts]  # (log probability, perturbed, path's place, its length) before the threshold is known
+    heaps: list[list] = [[] for _ in texts]  # open regions: (-perturbed, path number, branching point, that path's place, barred edges)
+    pool, pool_of = np.zeros(0, np.int64), np.zeros(0, np.int64)  # edges of all paths found, and the words they belong to
+    jobs = [(d, float(top[d]), 0, 0, ()) for d in np.flatnonzero(n_words).tolist()]  # (document, perturbed, path's place, edges kept, barred)
     for r in range(1, samples + 1):
-        starts, places, which, branch = [], [], [], []
-        for j, (d, _, before, of, barred) in enumerate(jobs):
-            word, chosen = 0, None
-            if barred:
-                node, word = int(lattice.node[barred[0]]), int(of[-1])
-                choices = np.setdiff1d(np.arange(first[node], first[node + 1]), barred)
-                weight = np.cumsum(np.exp(log_p[choices]))
-                u = uniform(seeds[d : d + 1], r, np.array([len(before)]), 1_000)[0]
-                chosen = int(choices[min(int(np.searchsorted(weight, u * weight[-1], side="right")), len(choices) - 1)])
-                nodes, at = lattice.root[roots_of[d][word + 1 :]], np.arange(word + 1, len(roots_of[d]))
-                if lattice.to[chosen] >= 0:
-                    nodes, at = np.concatenate([[lattice.to[chosen]], nodes]), np.concatenate([[word], at])
-            else:
-                nodes, at = lattice.root[roots_of[d]], np.arange(len(roots_of[d]))
-            starts.append(nodes)
-            places.append(at)
-            which.append(len(nodes))
-            branch.append(chosen)
         if not jobs:
             break
-        owner = np.repeat(np.array([j[0] for j in jobs]), which)
-        place = np.concatenate(places)
-        found, edges = lattice.walk(np.concatenate(starts), seeds[owner], place, r)
-        job_of = np.repeat(np.arange(len(jobs)), which)[found]
-        cut = np.searchsorted(job_of, np.arange(len(jobs) + 1))
+        doc, value, place, t0 = (np.array(x) for x in list(zip(*jobs))[:4])
+        barred = [j[4] for j in jobs]
+        seed, word, opened = seeds[doc], np.zeros(len(jobs), np.int64), np.zeros(len(jobs), np.int64)
+        chosen = np.full(len(jobs), -1)
+        lost = np.zeros(len(jobs), np.int64)  # probability of the barred edges
+        if r > 1:  # every job branches: another edge than the barred ones at its branching node
+            edge = np.array([b[0] for b in barred])
+            node, word = lattice.node[edge], pool_of[place + t0]
+            degree = first[node + 1] - first[node]
+            choices, of_job = ragged(first[node], degree), np.repeat(np.arange(len(jobs)), degree)
+            bars, bar_job = np.array([e for b in barred for e in b]), np.repeat(np.arange(len(jobs)), [len(b) for b in barred])
+            bar_at = np.cumsum(degree)[bar_job] - degree[bar_job] + bars - first[node[bar_job]]
+            weight = np.maximum(lattice.p_q[choices], 1)
+            weight[bar_at] = 0
+            np.add.at(lost, bar_job, lattice.p_q[bars])
+            total = np.add.reduceat(weight, np.cumsum(degree) - degree)
+            u = uniform(seed, r, t0, 1_000)
+            sums = np.cumsum(weight)
+            base = sums[np.cumsum(degree) - 1] - total
+            chosen = choices[np.searchsorted(sums, base + np.minimum((u * total).astype(np.int64), total - 1), side="right")]
+            opened = (lattice.to[chosen] >= 0).astype(np.int64)
+        after = np.where(chosen >= 0, word + 1, 0)
+        sizes = n_words[doc] - after
+        nodes, at = np.empty(int((sizes + opened).sum()), np.int64), np.empty(int((sizes + opened).sum()), np.int64)
+        begin = np.cumsum(sizes + opened) - sizes - opened
+        nodes[begin[opened > 0]], at[begin[opened > 0]] = lattice.to[chosen[opened > 0]], word[opened > 0]
+        rest = ragged(begin + opened, sizes)
+        nodes[rest], at[rest] = root[ragged(start[doc] + after, sizes)], ragged(after, sizes)
+        owner = np.repeat(np.arange(len(jobs)), sizes + opened)
+        found, edges = lattice.walk(nodes, seed[owner], at, r)
+        new = np.bincount(owner[found], minlength=len(jobs))
+        # the whole path: edges kept, the chosen one, those walked
+        branch = (chosen >= 0).astype(np.int64)
+        length = t0 + branch + new
+        begin = np.cumsum(length) - length
+        path, path_of = np.empty(int(length.sum()), np.int64), np.empty(int(length.sum()), np.int64)
+        head, source = ragged(begin, t0), ragged(place, t0)
+        path[head], path_of[head] = pool[source], pool_of[source]
+        one = (begin + t0)[branch > 0]
+        path[one], path_of[one] = chosen[branch > 0], word[branch > 0]
+        tail = ragged(begin + t0 + branch, new)
+        path[tail], path_of[tail] = edges, at[found]
+        log_q = lattice.log_q[path]
+        sums = np.cumsum(log_q)
+        base = np.concatenate([[0], sums])[begin]
+        here = len(pool)
+        for d, g, total, b, n in zip(doc.tolist(), value.tolist(), (sums[begin + length - 1] - base).tolist(), begin.tolist(), length.tolist()):
+            kept[d].append((total / LOG_UNIT, g, here + b, n))
+        pool, pool_of = np.concatenate([pool, path]), np.concatenate([pool_of, path_of])
+        # split what is left of each region along its path
+        split, of_job = ragged(begin + t0, length - t0), np.repeat(np.arange(len(jobs)), length - t0)
+        edge = path[split]
+        gone = lattice.p_q[edge]
+        lead = np.cumsum(length - t0) - (length - t0)
+        gone[lead] += lost
+        taken = np.ones(len(split), np.int64)
+        taken[lead] += [len(b) for b in barred]
+        degree = lattice.degree[edge]
+        real = np.flatnonzero((degree > taken) & (gone < P_UNIT))
+        split, of_job = split[real], of_job[real]
+        mass = (sums[split] - log_q[split] - base[of_job]) / LOG_UNIT + np.log1p(-gone[real] / P_UNIT)
+        t = split - begin[of_job]
+        g = truncated(mass, uniform(seed[of_job], 100 + r, t), value[of_job])
+        edges_of = np.flatnonzero(np.diff(of_job, prepend=-1))
+        for _ in range(samples - r + 1 if len(real) else 0):  # the best ones of each region are all that can be opened
+            best = np.maximum.reduceat(g, edges_of)
+            hit = np.flatnonzero(g == np.repeat(best, np.diff(np.append(edges_of, len(g)))))
+            hit = hit[np.diff(of_job[hit], prepend=-1) > 0]
+            for j, tt, e, v, b in zip(of_job[hit].tolist(), t[hit].tolist(), path[split[hit]].tolist(), g[hit].tolist(), begin[of_job[hit]].tolist()):
+                if v > -np.inf:
+                    heapq.heappush(heaps[jobs[j][0]], (-v, r, tt, here + b, (*barred[j], e) if tt == t0[j] else (e,)))
+            g[hit] = -np.inf
         next_jobs = []
-        for j, (d, value, before, of, barred) in enumerate(jobs):
-            new = edges[cut[j] : cut[j + 1]]
-            path, path_of = new, place[found[cut[j] : cut[j + 1]]]
-            if branch[j] is not None:
-                path = np.concatenate([before, [branch[j]], new])
-                path_of = np.concatenate([of, path_of])
-            lp = log_p[path]
-            total = np.cumsum(lp)
-            kept[d].append((float(total[-1]), value, path))
-            # split what is left of this region along the path
-            t0 = len(before)
-            gone = np.exp(lp[t0:])
-            if barred:
-                gone[0] += np.exp(log_p[list(barred)]).sum()
-            with np.errstate(divide="ignore", invalid="ignore"):
-                mass = (total - lp)[t0:] + np.log1p(-np.minimum(gone, 1.0))
-            degree = first[lattice.node[path[t0:]] + 1] - first[lattice.node[path[t0:]]]
-            taken = np.ones(len(degree), int)
-            taken[0] += len(barred)
-            real = np.flatnonzero((degree > taken) & np.isfinite(mass))
-            if len(real):
-                g = truncated(mass[real], uniform(seeds[d : d + 1], 100 + r, real + t0), value)
-                few = np.argsort(-g, kind="stable")[: samples - r + 1]
-                for i in few:
-                    t = t0 + int(real[i])
-                    bars = ((*barred, int(path[t])) if t == t0 else (int(path[t]),))
-                    heapq.heappush(heaps[d], (-float(g[i]), r, t, path[:t], path_of[: t + 1], bars))
-            if r < samples and heaps[d]:
-                g, _, _, before, of, bars = heapq.heappop(heaps[d])
-                next_jobs.append((d, -g, before, of, bars))
+        if r < samples:
+            for d in doc.tolist():
+                if heaps[d]:
+                    v, _, tt, b, bars = heapq.heappop(heaps[d])
+                    next_jobs.append((d, -v, b, tt, bars))
         jobs = next_jobs
+    rows = []
     for d in range(len(texts)):
         limit = -heaps[d][0][0] if heaps[d] else -np.inf
-        for lp, value, path in kept[d]:
-            inclusion = float(-np.expm1(-np.exp(min(lp - limit, 700.0)))) if np.isfinite(limit) else 1.0
-            out[d].append((lp, value, inclusion, p.ids(lattice.kind[path])))
-        if not len(roots_of[d]):
-            out[d] = [(0.0, float(top[d]), 1.0, np.zeros(0, np.int32))]
-    return out
+        rows += [(d, lp, value, limit, b, n) for lp, value, b, n in kept[d]] or [(d, 0.0, top[d], -np.inf, 0, 0)]
+    which, lp, value, limit, begin, length = (np.array(c) for c in zip(*rows))
+    inclusion = np.where(np.isfinite(limit), -np.expm1(-np.exp(np.minimum(lp - np.where(np.isfinite(limit), limit, 0), 700.0))), 1.0)
+    ends = np.cumsum(length)
+    ids, bounds = p.ids(lattice.kind[pool[ragged(begin, length)]], np.concatenate([[0], ends]))
+    return which, lp, value, inclusion, ids, bounds
 
 
 def row_key(doc_id: int | None, seed: int) -> int:
@@ -350,36 +401,25 @@ def sample(docs: DataFrame, samples: int = SAMPLES, seed: int = SEED, model: str
     inclusion 1. Null or empty text: one empty segmentation of probability 1. Rows equal in doc_id and text give equal
     samples. Other columns are left out.
     """
-    small_batches(docs.sparkSession, ROWS)
     path = model or default_model()
 
     def run(batches):
         p = pieces(path)
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            at = 0
-            while at < len(texts):
-                stop, held = at + 1, len(texts[at])
-                while stop < len(texts) and held + len(texts[stop]) <= CHARS_AT_ONCE:
-                    held += len(texts[stop])
-                    stop += 1
-                found = sample_texts(p, texts[at:stop], [row_key(i, seed) for i in ids[at:stop]], samples)
-                rows = [(i, k + 1, *s) for i, many in zip(ids[at:stop], found) for k, s in enumerate(many)]
-                lists = [r[5] for r in rows]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([r[c] for r in rows], pa.float64()) for c in (2, 3, 4)),
-                     pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists).astype(np.int32)))],
-                    ["doc_id", "sample", "log_prob", "perturbed", "inclusion", "n_pieces", "ids"],
-                )
-                at = stop
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SAMPLED)
+        for batch in slices(batches, most=BYTES_AT_ONCE):
+            keys = [row_key(i, seed) for i in batch.column("doc_id").to_pylist()]
+            which, lp, value, inclusion, ids, bounds = sample_arrays(p, pc.fill_null(batch.column("text"), ""), keys, samples)
+            number = np.arange(len(which)) - np.searchsorted(which, which) + 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(which)), pa.array(number.astype(np.int32)), pa.array(lp), pa.array(value), pa.array(inclusion),
+                 pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32, copy=False)))],
+                ["doc_id", "sample", "log_prob", "perturbed", "inclusion", "n_pieces", "ids"],
+            )
+
+    return doc_texts(docs).mapInArrow(run, SAMPLED)
 
 
 def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, ids: the model's own best segmentation, by the sentencepiece library. Null or empty text: no ids."""
-    small_batches(docs.sparkSession)
     path = model or default_model()
 
     def run(batches):
@@ -388,12 +428,12 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
             found = library.encode([t or "" for t in batch.column("text").to_pylist()], num_threads=1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return doc_texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, text of rows with ids; null ids give the empty text."""
-    small_batches(encoded.sparkSession)
+    ship(encoded.sparkSession)
     path = model or default_model()
 
     def run(batches):

@@ -43,7 +43,6 @@ def plain_ids(text, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_vocabulary())
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -218,7 +217,7 @@ def is_path(p, text, ids):
     for node in chart.root:
         while node >= 0:
             for e in range(chart.first[node], chart.first[node + 1]):
-                piece = p.ids(chart.kind[e : e + 1]).tolist()
+                piece = p.ids(chart.kind[e : e + 1], np.zeros(0, int))[0].tolist()
                 if ids[at : at + len(piece)] == piece:
                     node, at = chart.to[e], at + len(piece)
                     break
