@@ -16,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, fresh_path, small_batches
+from ..plans.ship import ship
+from .common import doc_texts, filesystem, fresh_path, slices
 
 #: Payload bytes come in multiples of this, filled up with FILL.
 BLOCK, FILL = 576, 255
 RATE, TARGET_RATE = 16_000, 8_000
 FILTER_TAPS = 32
+#: Media bytes described at once: tensors take about six times as many.
+MEDIA_BYTES = 2 << 20
 FRAME_SECONDS, HOP_SECONDS, FFT = 0.025, 0.010, 256
 MELS, FRAMES = 40, 32
 #: A span starts where a frame is at least START_DB and ends where it falls below STOP_DB, relative to the mean energy.
@@ -151,26 +154,23 @@ def to_media(docs: DataFrame) -> DataFrame:
 
     Null text: empty, one block of fill. Repeated rows are kept; other columns are left out.
     """
-    small_batches(docs.sparkSession)
-
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             data = [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             media = [wav(d + bytes([FILL]) * (max(1, -(-len(d) // BLOCK)) * BLOCK - len(d))) for d in data]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(map(len, data), pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return doc_texts(docs).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def features(media: DataFrame) -> DataFrame:
     """media (doc_id, n_bytes, media) with n_frames, spans and tensors; null media has no frame."""
-    small_batches(media.sparkSession)
+    ship(media.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "media", MEDIA_BYTES):
             found = [describe(m) if m is not None else (0, [], []) for m in batch.column("media").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), batch.column("media"), pa.array([f[0] for f in found], pa.int64()),
@@ -194,7 +194,7 @@ def write_tensors(described: DataFrame, path: str) -> DataFrame:
 
     Files of failed attempts are in no row of the result, so a reader takes the files listed there.
     """
-    small_batches(described.sparkSession)
+    ship(described.sparkSession)
 
     def run(batches):
         store, folder = filesystem(path)

@@ -1,32 +1,26 @@
-"""Helpers shared by the training-data operators: the shared folder, written tables, label folds."""
+"""Helpers shared by the training-data operators: the shared folder, written tables, label folds, worker caches."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import shared_folder
 from ..plans.ship import ship
 
-#: Rows per Arrow batch handed to Python: keeps a batch of very long texts within a worker's memory.
-ARROW_ROWS = 256
+#: Bytes of text that a Python task works on at once; one longer text is worked on whole.
+SLICE_BYTES = 2 << 20
 #: Remainder of crc32(doc_id) mod 4 that is held out from every fit.
 HELD_OUT_REMAINDER = 2
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see: spark.checkpoint.dir, or a temporary one where it is unset."""
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("sluice.shared.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="sluice-shared-")
-        spark.conf.set("sluice.shared.dir", folder)
-    return folder.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -36,13 +30,49 @@ def written(df: DataFrame, name: str) -> DataFrame:
     of what came before, and lets several readers use one computation."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._sluice_path = path
+    return back
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by `written` that nothing will read again."""
+    for df in tables:
+        if df is not None:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(df._sluice_path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def doc_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id long, text string) of any documents table, for a Python stage that needs this package on the executors."""
+    ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts hold about `most` bytes. Spark bounds a batch by its bytes; this
+    bounds what a task unpacks of it."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            group = np.cumsum(sizes, dtype=np.int64) // most
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()
+
+
+_cache: dict[str, object] = {}
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows per Arrow batch of this session's Python stages, which need this package on the executors."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def worker_cache(owner: str, make: Callable[[], object]):
+    """What one operator keeps between the batches of a Python worker. Workers outlive stages, so the caches of other
+    operators are dropped at the first use."""
+    if owner not in _cache:
+        _cache.clear()
+        _cache[owner] = make()
+    return _cache[owner]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -16,9 +16,8 @@ from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import doc_texts, slices
 
 COVERAGE = 0.8
 #: Templates of fewer words have to be aligned in full: the one word left out could be the license's name.
@@ -233,11 +232,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     Null, empty and clean texts give no row; a text that repeats a notice gives a row for each; repeated documents
     repeat their rows. Templates are a fixed dictionary of texts that every worker holds.
     """
-    small_batches(docs.sparkSession)
     ready = prepared(templates if templates is not None else TEMPLATES)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 (i, *m)
                 for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
@@ -250,4 +248,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
                 ["doc_id", "license", "start_char", "end_char", "matched_words", "template_words", "coverage"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FOUND)
+    return doc_texts(docs).mapInArrow(run, FOUND)

@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, small_batches, written
+from .common import doc_texts, fresh_path, slices, written
+from ..plans.ship import ship
 from .tokens import byte_bpe, default_vocabulary
 
 END_ID = 0
@@ -30,32 +31,27 @@ def encode_documents(docs: DataFrame, end_id: int = END_ID, vocabulary: str | No
     """doc_id, part, part_start, n_tokens, ids in ascending doc_id order over the parts.
 
     part is the place of the file in that order, part_start the ids before the document in its part. Null or empty
-    text: the end id alone. Null ids come first. Rows that repeat a doc_id are ordered by their text, so that even one
-    very frequent id is spread over parts as far as its texts differ.
+    text: the end id alone. Null ids come first. Rows that repeat a doc_id are ordered by their texts' CRC-32 and their
+    texts; the row's place in the scan only spreads equal rows over parts, so that no id or text is one task's work.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     path = vocabulary or default_vocabulary()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = doc_texts(docs)
     if parts is None:
         parts = max(1, -(-rows.count() // DOCS_PER_PART))
-    keyed = rows.withColumn("_tie", F.xxhash64("text"))
-    ordered = keyed.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
-    end = int(end_id).to_bytes(4, "little")
+    keyed = rows.withColumns({"_tie": F.crc32("text"), "_row": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange(parts, "doc_id", "_tie", "_row").sortWithinPartitions("doc_id", "_tie", "text")
 
     def encode(batches):
         bpe, start = byte_bpe(path), 0
-        for batch in batches:
-            data = [bpe.encode(t) + end for t in batch.column("text").to_pylist()]
-            sizes = np.fromiter((len(x) // 4 for x in data), np.int64, len(data))
+        for batch in slices(batches):
+            ids, sizes = bpe.encode_texts(batch.column("text"), end_id)
             ends = np.cumsum(sizes)
-            flat = np.frombuffer(b"".join(data), dtype="<i4")
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat, pa.int32()))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("part"), pa.array(start + ends - sizes), pa.array(sizes), lists],
                 ["doc_id", "part", "part_start", "n_tokens", "ids"],
             )
-            start += int(ends[-1]) if len(ends) else 0
+            start += int(ends[-1])
 
     return ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(encode, SCHEMA)
 
@@ -89,7 +85,7 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
 
 def with_crc32(tokens: DataFrame) -> DataFrame:
     """ids replaced by n_tokens (as counted) and ids_crc32, the unsigned CRC-32 of the ids as uint32 bytes."""
-    small_batches(tokens.sparkSession)
+    ship(tokens.sparkSession)
 
     def digest(batches):
         for batch in batches:

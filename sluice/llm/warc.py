@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
-from .common import filesystem, fresh_path, small_batches
+from ..plans.ship import ship
+from .common import filesystem, fresh_path
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, payload_digest string, "
@@ -220,7 +221,7 @@ class WarcDataSource(ds.DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    small_batches(spark)
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 
