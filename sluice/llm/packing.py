@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import doc_texts, slices, written
 from .tokens import byte_bpe, default_vocabulary
 
 WINDOW = 2048
@@ -35,29 +35,24 @@ def encode_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, v
     A document is its ids plus end_id, cut every `window` ids. Null or empty text: the end id alone, one piece.
     A null doc_id stays null; repeated rows are documents of their own; other columns are left out.
     """
-    small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
-    end = int(end_id).to_bytes(4, "little")
-    step = 4 * window
 
     def cut(batches):
-        encode = byte_bpe(path).encode
-        for batch in batches:
-            doc, start, ids, total = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                data = encode(text or "") + end
-                for at in range(0, len(data), step):
-                    doc.append(doc_id)
-                    start.append(at // 4)
-                    ids.append(data[at : at + step])
-                    total.append(len(data) // 4)
+        bpe = byte_bpe(path)
+        for batch in slices(batches):
+            ids, total = bpe.encode_texts(batch.column("text"), end_id)
+            pieces = -(-total // window)
+            doc = np.repeat(np.arange(len(total)), pieces)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+            length = np.minimum(window, total[doc] - start)
+            offsets = np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<i4", copy=False))])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array(total, pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(total[doc]), data],
                 ["doc_id", "start", "length", "doc_tokens", "ids"],
-            )
+            )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return doc_texts(docs).mapInArrow(cut, PIECES)
 
 
 def combinations(present: np.ndarray, window: int) -> np.ndarray:

@@ -15,7 +15,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, small_batches
+from ..plans.ship import ship
+from .common import held_out, labelled_sample
 
 #: Most labelled rows a fit looks at, and the longest text among them.
 FIT_ROWS, FIT_CHARS = 8_000, 20_000
@@ -116,7 +117,7 @@ def score(docs: DataFrame, model: QualityModel, column: str = "quality_score") -
 
     Every row is kept, with all its columns; a column that already has the new name is replaced.
     """
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -16,7 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, small_batches
+from ..plans.ship import ship
+from .common import held_out, labelled_sample, worker_cache
 
 #: Most labelled rows a fit looks at, and the longest text among them.
 FIT_ROWS, FIT_CHARS = 8_000, 20_000
@@ -24,7 +25,7 @@ HASH_BITS = 20
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 0.1, 6.0, 0.01, 8
 THRESHOLD = 0.3
 #: Words whose hash a worker keeps.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 _words = re.compile(r"\w+").findall
 _PAIR, _SKIP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
@@ -40,13 +41,10 @@ class WordHashes(dict):
         return value
 
 
-_hashes = WordHashes()
-
-
 def slots(text: str) -> np.ndarray:
     """Slots of all n-grams and skip-grams of a whole text, with repeats."""
     words = _words(text.lower())
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(worker_cache("toxicity", WordHashes).__getitem__, words), np.uint64, len(words))
     shift = np.uint64(64 - HASH_BITS)
     pair, skip = (h[:-1] * _PAIR) ^ h[1:], (h[:-2] * _SKIP) ^ h[2:]
     return np.concatenate([h >> shift, (pair * _MIX) >> shift, (skip * _MIX) >> shift]).view(np.int64)
@@ -118,7 +116,7 @@ def score(docs: DataFrame, model: ToxicityModel, column: str = "toxicity_score")
 
     Every row is kept, with all its columns; a column that already has the new name is replaced.
     """
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
