@@ -154,17 +154,16 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return rows.select("a", "salt", "node", "role", "text").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of edges (a, b); component is the smallest node reachable.
 
     Each round maps every node to the neighbour (or itself) of the least priority under a new hash and contracts the
     edges, which leaves a constant share of them whatever the shape. All tables stay distributed and are written to
-    the shared folder, so a lost executor repeats one round at most. With `rounds`, it ends after so many: nodes of one
-    component may then carry different numbers, but those that carry one are connected.
+    the shared folder, so a lost executor repeats one round at most.
     """
     edges = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     labels, done = None, 0
-    while done != rounds and not edges.isEmpty():
+    while not edges.isEmpty():
         done += 1
 
         def priority(node: str | Column, salt: int = done) -> Column:
@@ -270,24 +269,24 @@ def link_buckets(members: DataFrame, texts: DataFrame, words: int, percent: int)
     """All links needed to join the members of each bucket that are similar: confirmed (a, b).
 
     members: key, node, n. First every node is confirmed against one centre, then against the centre of each of its
-    buckets unless both are known to be connected by then. Members of buckets that still hold several components are at
+    buckets, and of another one, unless both are known to be connected by then. Members of buckets that still hold several components are at
     last paired by their rarest shingles, which misses none and leaves texts apart that share common passages alone.
     """
     similar_size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     links: DataFrame | None = None
-    for step in ("one centre", "all centres", "rest"):
+    for salt, step in enumerate(("one centre", "all centres", "other centres", "rest")):
         known = here = None
         if links is None:
             placed = members.withColumn("comp", F.col("node"))
         else:
-            known = components(links, rounds=3)
+            known = components(links)
             placed = members.join(known, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
             split = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
             placed = here = written(placed.join(split, "key", "left_semi"), "open")
         if step == "rest":
             pairs = rest_pairs(placed, texts, words, percent)
         else:
-            order = F.struct(F.xxhash64("node"), "node", "n", "comp")
+            order = F.struct(F.xxhash64(F.lit(salt), "node"), "node", "n", "comp")  # other centres in every step
             centre = placed.groupBy("key").agg(F.min(order).alias("m"))
             pairs = placed.join(centre, "key").select(
                 F.col("m.node").alias("a"), F.col("node").alias("b"), F.col("m.n").alias("n_a"), F.col("n").alias("n_b"),
