@@ -36,9 +36,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame | None) -> None:
-    """Delete tables made by `written` that nothing will read again."""
+    """Delete tables made by `written` that nothing will read again; what was made otherwise stays."""
     for df in tables:
-        if df is not None:
+        if df is not None and "_sluice_path" in vars(df):
             spark = df.sparkSession
             path = spark._jvm.org.apache.hadoop.fs.Path(df._sluice_path)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -404,6 +405,16 @@ def test_near_duplicates_edge_cases(edge, empty):
     assert neardup.near_duplicates(empty).count() == 0 and neardup.deduplicate(empty).count() == 0
 
 
+def test_repeated_rows_are_linked_once(spark):
+    base = " ".join(f"w{k}" for k in range(200))
+    other = base + " more words here"
+    rows = [(1, base)] * 120 + [(2, other)] * 120 + [(3, base)] * 5 + [(4, "apart from all the others")] + [(4, base)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1}  # 4 has the links of both its texts
+    nodes = spark.createDataFrame([(7, 1, neardup.set_key(next(neardup.shingle_sets(pa.array([base]), 5))))], "node long, rep long, set_key binary")
+    assert neardup.node_texts(spark.createDataFrame(rows, "doc_id long, text string"), nodes, 5).count() == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in neardup.components(spark.createDataFrame(path, "a long, b long")).collect()}
