@@ -1,30 +1,45 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections, with DataFrame functions alone.
+"""Document fingerprints: a Merkle tree over leaves, paragraphs and sections, with DataFrame functions alone.
 
-Leaves are paragraphs (lines), each hashed by SHA-256. A section is a run of paragraphs that ends where a paragraph's
-hash ends in 0 or 8, so an edit moves no boundary but its own; its hash covers its paragraphs' hashes, and the root
-covers the sections'. Equal roots mean equal texts, and differing branches name the sections and paragraphs edited.
-For a graded likeness the fingerprint also carries the least hashes of short pieces of the paragraphs.
+A paragraph is a line. Its leaves are short runs of words that end where the text itself says so: at a blank after one
+of a fixed set of characters, or at LEAF_CHARS characters. An edit therefore moves the bounds near it and no others.
+Leaves are hashed by SHA-256; a paragraph's hash covers its leaves' hashes. A section is a run of paragraphs that ends
+where a paragraph's hash ends in 0 or 8, its hash covers its paragraphs' hashes, and the root covers the sections'.
+Equal roots mean equal texts, and differing branches name the sections, paragraphs and leaves edited. The fingerprint
+keeps the root, the section branches and a bounded sample of the leaf branches, from which the likeness is worked out.
 
-fingerprint = root ":" first 8 hex digits of every section ":" up to SKETCH least 8-digit piece hashes.
+fingerprint = root ":" first 8 hex digits of every section ":" the SKETCH least 8-digit leaf branches, or all.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 SKETCH = 64
-#: Characters per piece in texts below and from SHORT_CHARS.
-SHORT_CHARS, SHORT_PIECE, PIECE = 256, 4, 32
-#: Rows per range of ids, about: a range's rows fit a window's buffer.
+#: Most characters of a leaf.
+LEAF_CHARS = 16
+#: A leaf ends at a blank after one of these characters (some of every common script) ...
+ENDS = r"[.,;:!?0-4A-Ea-es\x{E0}-\x{EF}\x{3B1}-\x{3B9}\x{430}-\x{438}\x{5D0}-\x{5D9}\x{627}-\x{62F}\x{93E}-\x{945}\x{AC00}-\x{BFFF}][\x09\x0B-\x0D\x20]"
+#: ... or, in scripts without blanks, after one of these.
+ENDS_ALONE = r"[\x{3001}\x{3002}\x{FF0C}\x{306B}-\x{306F}\x{4E00}-\x{51FF}]"
+LEAF = rf"[^\n]{{0,{LEAF_CHARS - 1}}}?(?:{ENDS}|{ENDS_ALONE})|[^\n]{{1,{LEAF_CHARS}}}"
+#: Rows per range of ids, about, as long as no more than MOST_RANGES ranges are needed.
 ROWS_PER_GROUP = 2_000
+MOST_RANGES = 1 << 16
 _NO_ID = -(2**63)
 
 
-def paragraph_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, "\n", -1), lambda p: F.sha2(p, 256))
+def leaf_hashes(text: Column) -> Column:
+    """The hashes of the leaves of each paragraph."""
+    return F.transform(F.split(text, "\n", -1), lambda p: F.transform(F.regexp_extract_all(p, F.lit(LEAF), F.lit(0)), lambda x: F.sha2(x, 256)))
+
+
+def paragraph_hashes(leaves: Column) -> Column:
+    return F.transform(leaves, lambda hs: F.sha2(F.array_join(hs, ""), 256))
 
 
 def section_texts(paragraphs: Column) -> Column:
@@ -37,36 +52,33 @@ def section_hashes(paragraphs: Column) -> Column:
     return F.transform(section_texts(paragraphs), lambda s: F.sha2(s, 256))
 
 
-def sketch(text: Column) -> Column:
-    """Least distinct hashes of the text's pieces, at most SKETCH of them, ascending."""
-    pieces = F.when(F.char_length(text) < SHORT_CHARS, F.regexp_extract_all(text, F.lit(f"[^\\n]{{1,{SHORT_PIECE}}}"), F.lit(0))).otherwise(
-        F.regexp_extract_all(text, F.lit(f"[^\\n]{{1,{PIECE}}}"), F.lit(0))
-    )
-    return F.slice(F.array_sort(F.array_distinct(F.transform(pieces, lambda p: F.substring(F.md5(p), 1, 8)))), 1, SKETCH)
+def sketch(leaves: Column) -> Column:
+    """Least distinct leaf branches, at most SKETCH of them, ascending."""
+    return F.slice(F.array_sort(F.array_distinct(F.transform(F.flatten(leaves), lambda h: F.substring(h, 1, 8)))), 1, SKETCH)
 
 
 def with_fingerprint(df: DataFrame, text: str, to: str) -> DataFrame:
     """df with one more column, the fingerprint of a text column; null text has the fingerprint of the empty text."""
-    sections = f"__sections_{to}"
-    whole = F.coalesce(F.col(text), F.lit(""))
+    leaves, sections = f"__leaves_{to}", f"__sections_{to}"
     return (
-        df.withColumn(sections, section_hashes(paragraph_hashes(whole)))
+        df.withColumn(leaves, leaf_hashes(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn(sections, section_hashes(paragraph_hashes(F.col(leaves))))
         .withColumn(
             to,
             F.concat_ws(
                 ":",
                 F.sha2(F.array_join(sections, ""), 256),
                 F.array_join(F.transform(sections, lambda s: F.substring(s, 1, 8)), ""),
-                F.array_join(sketch(whole), ""),
+                F.array_join(sketch(F.col(leaves)), ""),
             ),
         )
-        .drop(sections)
+        .drop(leaves, sections)
     )
 
 
 def likeness(a: Column | str, b: Column | str) -> Column:
-    """Likeness of two fingerprints, 0 to 1: 1 for equal roots, else the share of pieces in common (Dice), as estimated
-    from the least hashes of the union; exact where both texts have at most SKETCH distinct pieces."""
+    """Likeness of two fingerprints, 0 to 1: 1 for equal roots, else the share of leaf branches in common (Dice), as
+    estimated from the least ones of the union; exact where both texts have at most SKETCH distinct leaves."""
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     left, right = (F.regexp_extract_all(F.element_at(F.split(x, ":"), 3), F.lit(".{8}"), F.lit(0)) for x in (a, b))
     union = F.slice(F.array_sort(F.array_union(left, right)), 1, SKETCH)
@@ -79,7 +91,7 @@ def likeness(a: Column | str, b: Column | str) -> Column:
 def changed_paragraphs(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """pairs with left_changed and right_changed: positions (from 0) of paragraphs whose hash is in no section branch of
     the other side. Sections equal on both sides are not descended into. Null texts count as empty."""
-    l, r = (paragraph_hashes(F.coalesce(F.col(c), F.lit(""))) for c in (left, right))
+    l, r = (paragraph_hashes(leaf_hashes(F.coalesce(F.col(c), F.lit("")))) for c in (left, right))
     out = pairs.withColumn("__l", l).withColumn("__r", r)
 
     def own(one: str, other: str) -> Column:
@@ -95,28 +107,52 @@ def changed_paragraphs(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return out.withColumn("left_changed", own("__l", "__r")).withColumn("right_changed", own("__r", "__l")).drop("__l", "__r")
 
 
+def longs(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{v}L' if v != _NO_ID else f'({v + 1}L - 1L)' for v in values)})")
+
+
 def with_groups(docs: DataFrame) -> DataFrame:
-    """docs (id, ...) with g, the id's range: ranges of equal width that hold about ROWS_PER_GROUP rows each."""
-    low, high, n = docs.filter(F.col("id") != _NO_ID).agg(F.min("id"), F.max("id"), F.count("*")).first()
-    if not n:
-        return docs.withColumn("g", F.lit(-1).cast("long"))
-    width = max(1.0, (high - low + 1) / max(1, n // ROWS_PER_GROUP))
-    return docs.withColumn("g", F.when(F.col("id") == _NO_ID, -1).otherwise(F.floor((F.col("id").cast("double") - float(low)) / width)).cast("long"))
+    """docs (id, tie, ...) with g, the row's range in the order of (id, tie): about ROWS_PER_GROUP rows each, whatever the ids.
+
+    Ranges start at quantiles of the ids. An id with so many rows that several quantiles fall on it (the rows without an
+    id, for one) is divided further by equal widths of tie, a hash of the text. Only the quantiles reach the driver, at
+    most MOST_RANGES; beyond that, ranges grow.
+    """
+    ranges = min(MOST_RANGES, docs.count() // ROWS_PER_GROUP)
+    if ranges < 2:
+        return docs.withColumn("g", F.lit(0).cast("long"))
+    shares = F.expr(f"array({', '.join(f'{k / ranges!r}D' for k in range(1, ranges))})")
+    times = Counter(docs.agg(F.percentile_approx("id", shares, 4 * ranges)).first()[0])
+    starts = sorted(times)
+    step = int(len(starts) ** 0.5) + 1
+    blocks = [starts[k : k + step] for k in range(0, len(starts), step)]
+    block = F.size(F.filter(longs([b[0] for b in blocks]), lambda s: s <= F.col("id")))
+    out = docs.withColumn("__block", block)
+    out = out.withColumn("__in", F.when(F.col("__block") > 0, F.size(F.filter(F.element_at(F.array(*map(longs, blocks)), F.col("__block")), lambda s: s <= F.col("id")))))
+
+    def of_range(values: list[list[int]]) -> Column:
+        return F.element_at(F.element_at(F.array(*map(longs, values)), F.col("__block")), F.col("__in"))
+
+    parts = of_range([[times[s] for s in b] for b in blocks])
+    place = F.floor((F.col("tie").cast("double") / float(2**64) + 0.5) * parts)
+    within = F.when(F.col("id") == of_range(blocks), F.least(place, parts - 1)).otherwise(parts - 1)
+    number = ((F.col("__block") - 1) * step + F.col("__in")).cast("long") * (1 << 32) + within
+    return out.withColumn("g", F.when(F.col("__block") > 0, number).otherwise(F.lit(0).cast("long"))).drop("__block", "__in")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """docs (id, tie, text, fingerprint, ...) with next_text and next_fingerprint of the row after it by (id, tie).
+    """docs (id, tie, text, ...) with their fingerprint, and next_text and next_fingerprint of the row after by (id, tie).
 
     After the last comes the first. Rows meet by ranges of ids; the first row of a range is copied to the end of the
-    range before, so texts move once. What is known of all ranges is one small row each.
+    range before, so texts move once. What is known of all ranges is one small row each, at most twice MOST_RANGES.
     """
     placed = with_groups(docs)
     firsts = placed.groupBy("g").agg(F.min(F.struct("id", "tie")).alias("head"))
     order = Window.orderBy("g")
     before = F.coalesce(F.lag("g").over(order), F.max("g").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    firsts = written(firsts.select(F.col("head.id").alias("id"), F.col("head.tie").alias("tie"), before.alias("to")), "range-heads")
-    copies = placed.join(firsts, ["id", "tie"]).withColumn("g", F.col("to")).drop("to").withColumn("copy", F.lit(1))
-    rows = placed.withColumn("copy", F.lit(0)).unionByName(copies)
+    firsts = written(firsts.select("g", F.col("head.id").alias("id"), F.col("head.tie").alias("tie"), before.alias("to")), "range-heads")
+    copies = placed.join(F.broadcast(firsts), ["g", "id", "tie"]).withColumn("g", F.col("to")).drop("to").withColumn("copy", F.lit(1))
+    rows = with_fingerprint(placed.withColumn("copy", F.lit(0)).unionByName(copies), "text", "fingerprint")
     within = Window.partitionBy("g").orderBy("copy", "id", "tie")
     led = rows.withColumn("next_text", F.lead("text").over(within)).withColumn("next_fingerprint", F.lead("fingerprint").over(within))
     return led.filter("copy = 0").drop("copy", "g")
@@ -127,12 +163,13 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The edited text is the text with its last floor(n_chars / 4) characters replaced by as many first ones (or all) of
     the next document. Null text: empty. Rows of one doc_id follow each other in the order of their texts' hashes, so a
-    repeated row's next may be its repeat. Null ids come first. A single document is its own next. Other columns are
+    repeated row's next may be its repeat. Null ids come first. An id with very many rows is divided by the hashes of
+    its texts; only rows that repeat both id and text stay in one range. A single document is its own next. Other columns are
     left out; empty input gives an empty result.
     """
     doc = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     doc = doc.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("tie"), "text")
-    led = with_next(with_fingerprint(doc, "text", "fingerprint")).withColumn("n_chars", F.char_length("text").cast("long"))
+    led = with_next(doc).withColumn("n_chars", F.char_length("text").cast("long"))
     take = "cast(floor(n_chars / 4) as int)"
     edited = led.withColumn("edited", F.expr(f"concat(substring(text, 1, cast(n_chars as int) - {take}), substring(next_text, 1, {take}))"))
     return with_fingerprint(edited, "edited", "edited_fingerprint").select(
@@ -143,13 +180,13 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
 
 def _sql_fingerprint(t: str) -> str:
-    paragraphs = f"list_transform(string_split({t}, chr(10)), lambda p: sha256(p))"
+    leaves = f"list_transform(string_split({t}, chr(10)), lambda p: list_transform(regexp_extract_all(p, '{LEAF}'), lambda x: sha256(x)))"
+    paragraphs = f"list_transform({leaves}, lambda hs: sha256(coalesce(array_to_string(hs, ''), '')))"
     sections = (
         f"list_transform(list_filter(string_split(array_to_string(list_transform({paragraphs}, lambda h: h || CASE WHEN "
         f"substr(h, 64, 1) IN ('0', '8') THEN '|' ELSE '' END), ''), '|'), lambda s: s <> ''), lambda s: sha256(s))"
     )
-    pieces = f"CASE WHEN length({t}) < {SHORT_CHARS} THEN regexp_extract_all({t}, '[^\\n]{{1,{SHORT_PIECE}}}') ELSE regexp_extract_all({t}, '[^\\n]{{1,{PIECE}}}') END"
-    least = f"list_slice(list_sort(list_distinct(list_transform({pieces}, lambda p: substr(md5(p), 1, 8)))), 1, {SKETCH})"
+    least = f"list_slice(list_sort(list_distinct(list_transform(flatten({leaves}), lambda h: substr(h, 1, 8)))), 1, {SKETCH})"
     return (
         f"sha256(array_to_string({sections}, '')) || ':' || array_to_string(list_transform({sections}, lambda s: substr(s, 1, 8)), '') "
         f"|| ':' || coalesce(array_to_string({least}, ''), '')"

@@ -440,6 +440,36 @@ def test_fingerprint_edge_cases(spark, edge, empty):
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
 
 
+def test_likeness_has_no_length_switch_and_follows_insertions(spark):
+    rng = np.random.default_rng(5)
+    text = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(400))
+    pairs = [(text[:n], text[: n - n // 5]) for n in (100, 250, 300, 320, 2000)]  # the lengths on both sides of any switch
+    pairs += [(text[:900], "X" + text[:900]), (text[:900], text[:450] + " new " + text[450:900])]  # one line, text inserted
+    pairs += [(text[:600], text[1200:1800]), ("", text[:300]), ("", "")]
+    df = spark.createDataFrame(pairs, "l string, r string")
+    df = merkle.with_fingerprint(merkle.with_fingerprint(df, "l", "a"), "r", "b").withColumn("near", merkle.likeness("a", "b"))
+    near = [r.near for r in df.collect()]
+    assert all(n >= 0.7 for n in near[:5]) and all(n >= 0.9 for n in near[5:7]) and near[7] < 0.2 and near[8:] == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("ids", [lambda k: k if k else 2**60, lambda k: None if k % 3 else k, lambda k: 7 if k % 2 else -k, lambda k: hash((k, 1)) % 2**62])
+def test_ranges_hold_about_equal_rows_in_order(spark, ids):
+    rows = [(ids(k), f"text {k}") for k in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("tie", F.xxhash64("text"))
+    got = sorted((r.id, r.tie, r.g) for r in merkle.with_groups(df).collect())
+    assert [g for *_, g in got] == sorted(g for *_, g in got)
+    sizes = Counter(g for *_, g in got)
+    assert len(got) == 20_000 and len(sizes) >= 7 and max(sizes.values()) <= 2 * merkle.ROWS_PER_GROUP + 500
+
+
+def test_next_crosses_ranges_and_hot_ids(spark):
+    rows = [(None if k % 3 == 0 else 5 if k % 3 == 1 else k * 10**12, f"{k} text") for k in range(15_000)]
+    doc = spark.createDataFrame(rows, "id long, text string").withColumn("id", F.coalesce("id", F.lit(-(2**63)))).withColumn("tie", F.xxhash64("text"))
+    got = sorted((r.id, r.tie, r.text, r.next_text) for r in merkle.with_next(doc).select("id", "tie", "text", "next_text").collect())
+    texts = [t for _, _, t, _ in got]
+    assert len(got) == 15_000 and [n for *_, n in got] == texts[1:] + texts[:1]
+
+
 def test_changed_paragraphs_are_located(spark):
     left = "\n".join(f"paragraph {k}" for k in range(40))
     right = left.replace("paragraph 17", "new words here").replace("paragraph 30\n", "")
