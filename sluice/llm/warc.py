@@ -1,12 +1,16 @@
 """WARC archives as a PySpark data source: format("warc").
 
-Every record is a gzip member of its own whose header carries an `sl` extra field with the member's compressed and the
-record's plain length. A reader plans one partition per archive file, applies pushed predicates on record type and on
-header columns to the parsed headers, and passes over the payload of unwanted records without inflating it.
+A reader plans one partition per archive file, parses headers first, applies pushed predicates on record type and on
+header columns to them, and passes over the payload of unwanted records. Three forms are read: `.warc.gz` files of
+members whose gzip header carries an `sl` extra field with the member's compressed and the record's plain length (the
+form written here), where unwanted payloads are sought over and never inflated; other `.warc.gz` files, which have to be
+inflated in order but whose unwanted payloads are dropped unparsed; and plain `.warc` files, where they are sought over.
 """
 
 from __future__ import annotations
 
+import gzip
+import io
 import struct
 import uuid
 import zlib
@@ -18,7 +22,7 @@ from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
 from ..plans.ship import ship
-from .common import filesystem, fresh_path
+from .common import filesystem, fresh_path, written
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, payload_digest string, "
@@ -70,30 +74,96 @@ def parse_lines(head: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, _, value in pairs}
 
 
+def header_columns(fields: dict[str, str]) -> dict[str, str | None]:
+    return {c: fields.get(h.lower()) for c, h in HEADER_OF.items()}
+
+
+def is_http(fields: dict[str, str]) -> bool:
+    return fields.get("content-type", "").lower().startswith("application/http")
+
+
+def row_of(fields: dict[str, str], block: bytes, payload: bool) -> dict:
+    """A record's columns. The payload of an HTTP record is what follows its HTTP headers, else the whole block, which
+    may be cut behind those headers where no payload is asked for."""
+    http, _, content = block.partition(b"\r\n\r\n") if is_http(fields) else (b"", b"", block)
+    length = parse_lines(http).get("content-length", "") if is_http(fields) else fields["content-length"]
+    return header_columns(fields) | {"http_length": int(length) if length.isdigit() else None, "payload": content if payload else None}
+
+
 def read_members(handle, wanted=lambda columns: True, payload: bool = True) -> Iterator[dict]:
-    """Records of an archive that `wanted` admits by their header columns; the rest is skipped without inflating."""
+    """Records of an archive of members with skip lengths that `wanted` admits by their header columns; the rest is sought
+    over."""
     while head := handle.read(_MEMBER.size):
         if len(head) < _MEMBER.size or head[12:14] != b"sl":
             raise ValueError("not an archive of skippable members")
-        size = _MEMBER.unpack(head)[6]
-        body = handle.read(size - _MEMBER.size)
+        left = _MEMBER.unpack(head)[6] - _MEMBER.size - 8
         inflate = zlib.decompressobj(-zlib.MAX_WBITS)
-        start = inflate.decompress(body, HEAD_BYTES)
-        while b"\r\n\r\n" not in start and inflate.unconsumed_tail:
-            start += inflate.decompress(inflate.unconsumed_tail, HEAD_BYTES)
+        start = b""
+
+        def inflated_to_blank_line(text: bytes) -> bytes:
+            nonlocal left
+            while b"\r\n\r\n" not in text and (inflate.unconsumed_tail or left):
+                more = inflate.unconsumed_tail or handle.read(min(left, HEAD_BYTES))
+                left -= 0 if inflate.unconsumed_tail else len(more)
+                if not more:
+                    raise ValueError("archive ends within a record")
+                text += inflate.decompress(more, HEAD_BYTES)
+            return text
+
+        start = inflated_to_blank_line(start)
         lines, _, rest = start.partition(b"\r\n\r\n")
         fields = parse_lines(lines)
-        columns = {c: fields.get(h.lower()) for c, h in HEADER_OF.items()}
-        if not wanted(columns):
+        if not wanted(header_columns(fields)):
+            handle.seek(left + 8, io.SEEK_CUR)
+            continue
+        if payload:
+            rest += inflate.decompress(inflate.unconsumed_tail + handle.read(left))
+            if zlib.crc32(rest, zlib.crc32(lines + b"\r\n\r\n")) != struct.unpack("<I", handle.read(8)[:4])[0]:
+                raise ValueError(f"damaged record {fields.get('warc-record-id')}")
+        else:
+            rest = inflated_to_blank_line(rest) if is_http(fields) else rest
+            handle.seek(left + 8, io.SEEK_CUR)
+        yield row_of(fields, rest[: int(fields["content-length"])], payload)
+
+
+def read_plain(handle, wanted=lambda columns: True, payload: bool = True) -> Iterator[dict]:
+    """The same of a stream of plain records, one after the other."""
+    while line := handle.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError("not a WARC record")
+        lines = [line]
+        while (line := handle.readline()).strip():
+            lines.append(line)
+        fields = parse_lines(b"".join(x.rstrip(b"\r\n") + b"\r\n" for x in lines))
+        left = int(fields["content-length"])
+        if not wanted(header_columns(fields)):
+            handle.seek(left, io.SEEK_CUR)
             continue
-        http_known = b"\r\n\r\n" in rest
-        if payload or not http_known:
-            rest += inflate.decompress(inflate.unconsumed_tail)
-            if payload and zlib.crc32(rest, zlib.crc32(lines + b"\r\n\r\n")) != struct.unpack("<I", body[-8:-4])[0]:
-                raise ValueError(f"damaged record {columns['record_id']}")
-        http, _, content = rest[: int(fields["content-length"])].partition(b"\r\n\r\n") if payload else rest.partition(b"\r\n\r\n")
-        length = parse_lines(http).get("content-length")
-        yield columns | {"http_length": int(length) if length else None, "payload": content if payload else None}
+        block = handle.read(left if payload else min(left, HEAD_BYTES if is_http(fields) else 0))
+        left -= len(block)
+        while not payload and is_http(fields) and left and b"\r\n\r\n" not in block:
+            more = handle.read(min(left, HEAD_BYTES))
+            if not more:
+                break
+            block, left = block + more, left - len(more)
+        if payload and left:
+            raise ValueError(f"archive ends within record {fields.get('warc-record-id')}")
+        handle.seek(left, io.SEEK_CUR)
+        yield row_of(fields, block, payload)
+
+
+def read_archive(handle, wanted=lambda columns: True, payload: bool = True) -> Iterator[dict]:
+    """Records of a seekable archive in any of the three forms."""
+    head = handle.read(_MEMBER.size)
+    handle.seek(0)
+    if head[:2] != b"\x1f\x8b":
+        yield from read_plain(handle, wanted, payload)
+    elif head[12:14] == b"sl" and head[3] & 4:
+        yield from read_members(handle, wanted, payload)
+    else:
+        yield from read_plain(gzip.GzipFile(fileobj=handle), wanted, payload)
 
 
 def test_of(f: ds.Filter):
@@ -141,7 +211,7 @@ class WarcReader(ds.DataSourceReader):
 
         store, path = filesystem(self.folder)
         found = store.get_file_info(fs.FileSelector(path, recursive=True))
-        names = sorted(x.path for x in found if x.is_file and x.path.endswith(".warc.gz") and "/_temporary/" not in x.path)
+        names = sorted(x.path for x in found if x.is_file and x.path.endswith((".warc.gz", ".warc")) and "/_temporary/" not in x.path)
         return [WarcFile(n) for n in names] or [WarcFile("")]
 
     def read(self, partition):
@@ -155,8 +225,8 @@ class WarcReader(ds.DataSourceReader):
 
         schema = pa.schema([(c, pa.int64() if c == "http_length" else pa.binary() if c == "payload" else pa.string()) for c in WRITTEN])
         rows, held = [], 0
-        with store.open_input_stream(partition.path, buffer_size=1 << 20) as handle:
-            for row in read_members(handle, wanted, self.payload):
+        with store.open_input_file(partition.path) as file, io.BufferedReader(file, 1 << 20) as handle:
+            for row in read_archive(handle, wanted, self.payload):
                 rows.append(row)
                 held += len(row["payload"] or b"") + 500
                 if held > 8 << 20:
@@ -182,7 +252,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
         name = f"part-{uuid.uuid4().hex}.warc.gz"
         store.create_dir(f"{path}/_temporary/{self.job}", recursive=True)
         temporary = f"{path}/_temporary/{self.job}/{name}"
-        with store.open_output_stream(temporary, buffer_size=1 << 20) as out:
+        with store.open_output_stream(temporary, compression=None, buffer_size=1 << 20) as out:
             for batch in iterator:
                 for row in batch.to_pylist():
                     out.write(member(record_bytes(row)))
@@ -242,21 +312,35 @@ RECORD_PREFIX = "urn:page:"
 DATE = "2024-01-01T00:00:00Z"
 
 
+#: A payload of at least one in so many records is common; there can't be more than so many of those.
+COMMON = 1_000
+
+
 def to_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """WARC columns of pages (page_id, url, html).
 
     Among records whose payloads are equal and have at least least_bytes bytes, the one with the largest page_id is the
     response and the others revisit it; smaller payloads are all responses. Null html is the empty payload. Rows that
-    repeat a page_id with the same payload are all responses; a null page_id never revisits.
+    repeat a page_id with the same payload are all responses; a null page_id never revisits. The newest page of a payload
+    that at least one record in COMMON has is broadcast, as there are at most COMMON of them, so that no task gets all
+    copies of an error page.
     """
     page = pages.select("page_id", F.col("url").alias("target_uri"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     page = page.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("http_length", F.octet_length("payload").cast("long"))
     newest = page.filter(F.col("http_length") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("_n"))
-    repeated = newest.filter("_n > 1").select("digest", "newest")
-    revisit = (F.col("http_length") >= least_bytes) & (F.col("newest") > F.col("page_id"))
-    revisit = F.coalesce(revisit, F.lit(False))
+    repeated = written(newest.filter("_n > 1"), "repeated")
+    common = pages.count() / COMMON
+    first = F.broadcast(repeated.filter(F.col("_n") > common).select("digest", F.col("newest").alias("newest_common"), F.lit(True).alias("_common")))
+    page = page.join(first, "digest", "left")
+    # a page with a common payload is decided here: it needs no partner any more, and a revisit has no payload to move
+    decided = F.coalesce("_common", F.lit(False))
+    page = page.withColumn("payload", F.when(F.coalesce(F.col("newest_common") > F.col("page_id"), F.lit(False)), F.lit(None)).otherwise(F.col("payload")))
+    page = page.withColumn("partner", F.when(decided, F.concat_ws("/", "digest", F.xxhash64("page_id", "target_uri"))).otherwise(F.col("digest")))
+    rest = repeated.filter(F.col("_n") <= common).select(F.col("digest").alias("partner"), "newest")
+    page = page.join(rest, "partner", "left").withColumn("newest", F.coalesce("newest_common", "newest"))
+    revisit = F.coalesce((F.col("http_length") >= least_bytes) & (F.col("newest") > F.col("page_id")), F.lit(False))
     uri = lambda c: F.concat(F.lit(f"<{RECORD_PREFIX}"), c.cast("string"), F.lit(">"))
-    return page.join(repeated, "digest", "left").select(
+    return page.select(
         F.coalesce(uri(F.col("page_id")), F.lit(f"<{RECORD_PREFIX}>")).alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         "target_uri", F.lit(DATE).alias("warc_date"), F.concat(F.lit("sha1:"), "digest").alias("payload_digest"),

@@ -1,7 +1,9 @@
 """Training-data operators against brute-force versions, exact round trips and held-out accuracy, with edge cases."""
 
+import gzip
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -323,6 +325,9 @@ def test_warc_revisits_and_pushed_headers(spark, sf, empty):
     assert warc.archive_and_read(pages).count() == 8 and warc.archive_and_read(pages.limit(0)).count() == 0
     path = common.fresh_path(spark, "warc")
     warc.write_warc(warc.to_records(pages, least_bytes=5), path)
+    files = [f for f in os.listdir(common.local_path(path)) if f.endswith(".warc.gz")]
+    plain = b"".join(gzip.open(f"{common.local_path(path)}/{f}").read() for f in files)  # gzip alone, once
+    assert plain.count(b"WARC/1.1\r\n") == pages.count()
     heads = warc.read_warc(spark, path, payload=False)
     assert heads.filter("record_type = 'revisit'").count() == 0  # smaller payloads are all responses
     one = warc.read_warc(spark, path).filter("record_type = 'response' AND target_uri LIKE 'http://a/%'")
@@ -344,6 +349,38 @@ def test_unwanted_payloads_are_not_inflated():
         list(warc.read_members(io.BytesIO(bytes(spoiled))))
 
 
+def test_ordinary_archives_are_read(spark, tmp_path):
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:i>\r\nContent-Type: application/warc-fields\r\nContent-Length: 14\r\n\r\nsoftware: x\r\n\n\r\n\r\n"
+    rows = [{"record_id": f"<urn:page:{k}>", "record_type": t, "target_uri": f"http://u/{k}", "warc_date": "d", "payload_digest": "x", "refers_to": None, "http_length": None, "payload": bytes([65 + k]) * n} for k, (t, n) in enumerate([("response", 100_000), ("request", 0), ("response", 5), ("response", 3_000_000)])]
+    records = [info, *map(warc.record_bytes, rows)]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))  # a member per record, no lengths
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b"".join(records)))  # one member for all
+    (tmp_path / "d.warc.gz").write_bytes(b"".join(map(warc.member, records)))
+    (tmp_path / "e.warc").write_bytes(b"")
+    for payload in (True, False):
+        df = warc.read_warc(spark, str(tmp_path), payload)
+        for part in (df, df.filter("record_type = 'response' AND target_uri LIKE 'http://u/%'"), df.filter("record_type = 'warcinfo'")):
+            got = Counter((r.record_id, r.http_length, r.payload and bytes(r.payload)) for r in part.collect())
+            assert got and set(got.values()) == {4}
+    whole = {r.record_id: r for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert all(bytes(whole[r["record_id"]].payload) == r["payload"] and whole[r["record_id"]].http_length == len(r["payload"]) for r in rows)
+    assert bytes(whole["<urn:i>"].payload) == b"software: x\r\n\n" and len(whole) == 5
+    (tmp_path / "f.warc").write_bytes(records[1][:5000])
+    with pytest.raises(Exception, match="ends within"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+
+
+def test_common_payloads_are_no_join_key(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("CASE WHEN id % 2 = 0 THEN 'error page' WHEN id % 5 = 0 THEN NULL ELSE concat('p', id % 1400) END").alias("html"))
+    want = {}
+    for r in pages.collect():
+        want.setdefault(r.html or "", []).append(r.page_id)
+    newest = {i: max(ids) for ids in want.values() for i in ids}
+    got = warc.archive_and_read(pages).collect()
+    assert len(got) == 3000 and all((r.refers_to or r.page_id) == newest[r.page_id] and (r.record_type == "revisit") == (newest[r.page_id] != r.page_id) for r in got)
+
+
 # -- near-duplicates --------------------------------------------------------------------------------------------------
 
 
