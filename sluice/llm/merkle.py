@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over leaves, paragraphs and sections, with DataFrame functions alone.
 
-A paragraph is a line. Its leaves are short runs of words that end where the text itself says so: at a blank after one
-of a fixed set of characters, or at LEAF_CHARS characters. An edit therefore moves the bounds near it and no others.
+A paragraph is a line. Its leaves are short runs of words that end where the text itself says so: at a blank, but for
+those after one of a fixed set of characters, or at LEAF_CHARS characters. An edit therefore moves the bounds near it and no others.
 Leaves are hashed by SHA-256; a paragraph's hash covers its leaves' hashes. A section is a run of paragraphs that ends
 where a paragraph's hash ends in 0 or 8, its hash covers its paragraphs' hashes, and the root covers the sections'.
 Equal roots mean equal texts, and differing branches name the sections, paragraphs and leaves edited. The fingerprint
@@ -22,11 +22,9 @@ from .common import written
 SKETCH = 64
 #: Most characters of a leaf.
 LEAF_CHARS = 16
-#: A leaf ends at a blank after one of these characters (some of every common script) ...
-ENDS = r"[.,;:!?0-4A-Ea-es\x{E0}-\x{EF}\x{3B1}-\x{3B9}\x{430}-\x{438}\x{5D0}-\x{5D9}\x{627}-\x{62F}\x{93E}-\x{945}\x{AC00}-\x{BFFF}][\x09\x0B-\x0D\x20]"
-#: ... or, in scripts without blanks, after one of these.
-ENDS_ALONE = r"[\x{3001}\x{3002}\x{FF0C}\x{306B}-\x{306F}\x{4E00}-\x{51FF}]"
-LEAF = rf"[^\n]{{0,{LEAF_CHARS - 1}}}?(?:{ENDS}|{ENDS_ALONE})|[^\n]{{1,{LEAF_CHARS}}}"
+#: A leaf ends at a blank or an ideographic comma or full stop, unless one of these characters stands before it.
+GOES_ON = r"\x09\x0B-\x0D\x20f-rt-zF-Z5-9"
+LEAF = rf"[^\n]{{0,{LEAF_CHARS - 1}}}?[^\n{GOES_ON}][\x09\x0B-\x0D\x20\x{{3001}}-\x{{3002}}\x{{FF0C}}]|[^\n]{{1,{LEAF_CHARS}}}"
 #: Rows per range of ids, about, as long as no more than MOST_RANGES ranges are needed.
 ROWS_PER_GROUP = 2_000
 MOST_RANGES = 1 << 16
@@ -54,7 +52,7 @@ def section_hashes(paragraphs: Column) -> Column:
 
 def sketch(leaves: Column) -> Column:
     """Least distinct leaf branches, at most SKETCH of them, ascending."""
-    return F.slice(F.array_sort(F.array_distinct(F.transform(F.flatten(leaves), lambda h: F.substring(h, 1, 8)))), 1, SKETCH)
+    return F.slice(F.sort_array(F.array_distinct(F.transform(F.flatten(leaves), lambda h: F.substring(h, 1, 8)))), 1, SKETCH)
 
 
 def with_fingerprint(df: DataFrame, text: str, to: str) -> DataFrame:
@@ -81,7 +79,7 @@ def likeness(a: Column | str, b: Column | str) -> Column:
     estimated from the least ones of the union; exact where both texts have at most SKETCH distinct leaves."""
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     left, right = (F.regexp_extract_all(F.element_at(F.split(x, ":"), 3), F.lit(".{8}"), F.lit(0)) for x in (a, b))
-    union = F.slice(F.array_sort(F.array_union(left, right)), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(left, right)), 1, SKETCH)
     common, total = F.size(F.array_intersect(F.array_intersect(union, left), right)), F.size(union)
     j = common / F.greatest(total, F.lit(1))
     same = F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1)
