@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, lattice, licenses, merkle, neardup, packing, quality, tokenstore, toxicity, warc
+from . import audio, divergence, fim, lattice, licenses, merkle, neardup, packing, quality, tokenstore, toxicity, warc, webtext
 from .common import read
 
 
@@ -67,9 +67,30 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(read(spark, sf_dir, "pages"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.cut_and_restore(read(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+QUERIES = (
+    op1_packing, op2_quality, op3_sentencepiece, op4_audio, op5_token_store, op6_warc, op7_toxicity, op8_near_duplicates,
+    op9_fingerprints, op10_licenses, op11_main_text, op12_fill_in_middle, op13_source_divergence,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op3_sentencepiece, op4_audio, op5_token_store, op6_warc, op7_toxicity, op8_near_duplicates, op9_fingerprints, op10_licenses)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": warc.ORACLE_SQL, "op8_near_duplicates": OP8_SQL, "op9_fingerprints": merkle.ORACLE_SQL}
+    return {
+        "op6_warc": warc.ORACLE_SQL, "op8_near_duplicates": OP8_SQL, "op9_fingerprints": merkle.ORACLE_SQL,
+        "op12_fill_in_middle": fim.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL,
+    }
