@@ -150,7 +150,8 @@ class Page:
         if tag in ENDED_BY:
             self.pop_to(*ENDED_BY[tag])
         if tag in VOID:
-            self.text.append("\n" if tag == "hr" else " ")
+            if tag in ("br", "hr"):
+                self.text.append("\n" if tag == "hr" else " ")
             return
         kind = LEFT_OUT if says_not_text(tag, attributes) else 0
         if tag in ("article", "main"):
