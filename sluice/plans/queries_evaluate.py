@@ -422,12 +422,45 @@ def k05_sample_meta(spark, d):
     return P.sample_meta(*P.stratified_sample(records(spark, d), 300))
 
 
-@query(f"{RECORDS}, forced AS (SELECT frame_id FROM records WHERE n % 3000 = 1), {_spread_sql('records', _Q1, 7, 's')} SELECT frame_id FROM picked UNION SELECT frame_id FROM forced")
-def x02_forced_union_sampled(spark, d):
+# a band named by the weights that no frame is in, so that its share is handed on; forced frames; swaps up to a quota
+_SHORT = {"none": 90, "low": 70, "mid": 70, "high": 70, "unseen": 61}
+_SHORT_SIZE, _SHORT_LARGE = 361, 110
+_HS = T.H.format("'11|large|' || frame_id")
+_FORCED_SQL = (
+    f"{RECORDS}, {_CUTS_OF.format('records')}, wt(conf_band, w) AS (VALUES {', '.join(f'({b!r}, {w})' for b, w in _SHORT.items())}), "
+    "forced AS (SELECT * FROM records WHERE n % 500 = 1), rest AS (SELECT * FROM records WHERE n % 500 <> 1), "
+    f"q0 AS (SELECT conf_band, {_SHORT_SIZE} * w // (SELECT sum(w) FROM wt) AS base, {_SHORT_SIZE} * w % (SELECT sum(w) FROM wt) AS over, coalesce(s, 0) AS s FROM wt LEFT JOIN (SELECT conf_band, count(*) AS s FROM records GROUP BY 1) USING (conf_band)), "
+    f"q1 AS (SELECT conf_band, s, least(s, base + (row_number() OVER (ORDER BY over DESC, conf_band) <= {_SHORT_SIZE} - (SELECT sum(base) FROM q0))::INT) AS got FROM q0), "
+    f"miss AS (SELECT least({_SHORT_SIZE} - sum(got), sum(s - got)) AS m FROM q1), "
+    f"lv AS (SELECT max(l) AS l FROM (SELECT l, sum(least(s - got, l)) AS used FROM q1, range({_SHORT_SIZE} + 1) t(l) GROUP BY l) WHERE used <= (SELECT m FROM miss)), "
+    "q2 AS (SELECT conf_band, got + least(s - got, l) + (s - got > l AND row_number() OVER (ORDER BY (s - got > l) DESC, s - got DESC, conf_band) <= m - sum(least(s - got, l)) OVER ())::INT AS quota FROM q1, lv, miss), "
+)
+_FORCED_PICKED = (
+    _spread_sql("rest", "('none', 0)", 11, "s", _CUTB, _CUTZ).replace("JOIN (VALUES ('none', 0)) q(conf_band, want) USING (conf_band)", "JOIN (SELECT conf_band, quota - coalesce(f, 0) AS want FROM q2 LEFT JOIN (SELECT conf_band, count(*) AS f FROM forced GROUP BY 1) USING (conf_band)) USING (conf_band)")
+    + ", chosen AS (SELECT frame_id, conf_band, folder, large_box FROM picked UNION ALL SELECT frame_id, conf_band, folder, large_box FROM forced), "
+    f"cand AS (SELECT *, row_number() OVER (PARTITION BY conf_band ORDER BY i) AS rk FROM (SELECT frame_id, conf_band, row_number() OVER (ORDER BY {_HS}, frame_id) AS i FROM records WHERE large_box AND frame_id NOT IN (SELECT frame_id FROM chosen)) "
+    f"WHERE i <= (SELECT greatest(0, {_SHORT_LARGE} - count(*)) FROM chosen WHERE large_box)), "
+    "vict AS (SELECT frame_id, conf_band, row_number() OVER (PARTITION BY conf_band ORDER BY lvl DESC, frame_id DESC) AS rk FROM (SELECT frame_id, conf_band, row_number() OVER (PARTITION BY conf_band, folder ORDER BY frame_id) AS lvl FROM chosen WHERE NOT large_box)), "
+    "pair AS (SELECT c.frame_id, c.i, v.frame_id AS victim FROM cand c LEFT JOIN vict v USING (conf_band, rk)), sw AS (SELECT * FROM pair WHERE i < coalesce((SELECT min(i) FROM pair WHERE victim IS NULL), 1000000)), "
+    "done AS (SELECT frame_id FROM chosen WHERE frame_id NOT IN (SELECT victim FROM sw) UNION ALL SELECT frame_id FROM sw)"
+)
+
+
+def forced_sample(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
     r = records(spark, d)
-    forced = r.filter("n % 3000 = 1").select("frame_id").unionByName(spark.range(1).select(F.lit("nowhere/IMG1.JPG").alias("frame_id")))
-    known = r.select("frame_id").join(forced, "frame_id", "left_semi")
-    return P.spread(r, QUOTAS, *CUTS, seed=7).select("frame_id").unionByName(known).dropDuplicates(["frame_id"])
+    forced = r.filter("n % 500 = 1").select("frame_id").unionByName(spark.range(1).select(F.lit("nowhere/IMG1.JPG").alias("frame_id")))
+    return P.stratified_sample(r, _SHORT_SIZE, 11, _SHORT, _SHORT_LARGE, forced)
+
+
+@query(f"{_FORCED_SQL} {_FORCED_PICKED} SELECT frame_id, conf_band, large_box FROM done JOIN (SELECT frame_id, conf_band, large_box FROM records) USING (frame_id)")
+def x02_forced_union_sampled(spark, d):
+    return forced_sample(spark, d)[0].select("frame_id", "conf_band", "large_box")
+
+
+@query(f"{_FORCED_SQL.rstrip(', ')} SELECT conf_band, quota::BIGINT AS quota FROM q2")
+def u08_quotas_with_a_short_band(spark, d):
+    counted = records(spark, d).groupBy("conf_band").agg(F.count("*").alias("n")).collect()  # four bands
+    return spark.createDataFrame(sorted(P.apportion(_SHORT, _SHORT_SIZE, {r["conf_band"]: r["n"] for r in counted}).items()), "conf_band string, quota long")
 
 
 _TEST = f"{T.H.format("'T' || n")} % 400 = 0"

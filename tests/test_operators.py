@@ -153,23 +153,44 @@ def test_top_up_swaps(spark, seed):
         check_top_up(chosen, frames, got, quota, seed)
 
 
-def test_apportion_hits_the_size_and_passes_shortfalls_on():
+def one_at_a_time(quota, supply, size):
+    """A shortfall dealt out frame by frame, as the rule says: passes over all bands with room, roomiest first."""
+    while sum(quota.values()) < size:
+        turn = sorted((b for b in quota if quota[b] < supply.get(b, 0)), key=lambda b: (quota[b] - supply[b], b))
+        if not turn:
+            break
+        for b in turn[: size - sum(quota.values())]:
+            quota[b] += 1
+    return quota
+
+
+def test_apportion_hits_the_size_and_hands_shortfalls_on():
     assert P.apportion(P.BAND_WEIGHTS, 300, dict.fromkeys(P.BAND_WEIGHTS, 1000)) == {"none": 90, "low": 70, "mid": 70, "high": 70}
-    short = P.apportion(P.BAND_WEIGHTS, 300, {"none": 1000, "low": 10, "mid": 75, "high": 1000})
-    assert sum(short.values()) == 300 and short["low"] == 10
+    assert P.apportion(P.BAND_WEIGHTS, 300, {"none": 10000, "low": 5000, "mid": 20, "high": 3000}) == {"none": 107, "low": 87, "mid": 20, "high": 86}
     assert sum(P.apportion(P.BAND_WEIGHTS, 300, {"none": 5}).values()) == 5
-    assert P.apportion({"a": 1, "b": 1, "c": 1}, 10, {"a": 2, "b": 90, "c": 5}) == {"a": 2, "b": 5, "c": 3}
+    assert P.apportion({"a": 1, "b": 1, "c": 1}, 10, {"a": 2, "b": 90, "c": 5}) == {"a": 2, "b": 4, "c": 4}
     rng = random.Random(7)
-    for _ in range(200):
+    for _ in range(2000):
         weights = {b: rng.randrange(0, 5) for b in "abcde"}
-        supply, size = {b: rng.randrange(0, 12) for b in "abcd"}, rng.randrange(0, 40)
-        got = P.apportion(weights, size, supply)
-        room = {b: supply.get(b, 0) - n for b, n in got.items()}
-        share = {b: min(size * w / (sum(weights.values()) or 1), supply.get(b, 0)) for b, w in weights.items()}
-        assert min(room.values()) >= 0 and (sum(got.values()) == min(size, sum(supply.values())))
-        assert all(got[b] >= int(share[b]) for b in got)
-        helped = [b for b in got if got[b] > share[b] + 1]
-        assert all(room[b] + 1 >= room[c] for b in helped for c in room)  # rooms were levelled from the largest down
+        supply, size = {b: rng.randrange(0, rng.choice((4, 40))) for b in "abcd"}, rng.randrange(0, 90)
+        whole = sum(weights.values()) or 1
+        rest = sorted(weights, key=lambda b: (-(size * weights[b] % whole), b))[: size - sum(size * w // whole for w in weights.values())]
+        first = {b: min(size * w // whole + (b in rest), supply.get(b, 0)) for b, w in weights.items()}
+        assert P.apportion(weights, size, supply) == one_at_a_time(first, supply, size)
+
+
+def test_forced_frames_come_first(spark):
+    rows = [(f"cam{k % 3}/IMG{k:04d}.JPG", "s", f"IMG{k:04d}.JPG", f"cam{k % 3}", f"cam{k % 3}", float(k % 17), float(k % 23), ("none", "low", "mid")[k % 3], 0.5, 1, 0.01 * (k % 40), k % 40 > 30) for k in range(300)]
+    df = spark.createDataFrame(rows, "frame_id string, source string, frame string, camera string, folder string, brightness double, blur double, conf_band string, max_conf double, n_boxes int, max_area_frac double, large_box boolean")
+    force = spark.createDataFrame([(rows[k][0],) for k in range(31, 40)] + [(rows[31][0],), ("no/such.JPG",)], "frame_id string")  # large boxes, which no swap displaces
+    sample, about = P.stratified_sample(df, 30, weights={"none": 1, "low": 1, "mid": 1, "high": 1}, large_quota=9, force=force)
+    got = [r.frame_id for r in sample.collect()]
+    assert len(got) == len(set(got)) == 30 and got == sorted(got) and {rows[k][0] for k in range(31, 40)} <= set(got)
+    assert about["band_quotas"] == {"none": 10, "low": 10, "mid": 10, "high": 0}
+    bands = {b: sum(r.conf_band == b for r in sample.collect()) for b in ("none", "low", "mid")}
+    assert bands == {b: n for b, n in about["band_quotas"].items() if n}
+    many = P.stratified_sample(df, 5, force=force)[0].count()
+    assert many == 9  # more forced frames than places: none is left out, and no other is drawn
 
 
 def test_quantile_cuts_are_elements(spark):
