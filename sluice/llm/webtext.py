@@ -28,9 +28,10 @@ MANY_PAGES = 3
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea iframe noscript noembed noframes xmp".split())
 CONTAINERS = set("aside dialog details div dl fieldset figure footer form header hgroup menu nav ol search section table ul".split())
-TEXT_BLOCKS = set("address blockquote caption center dd dt figcaption h1 h2 h3 h4 h5 h6 legend li optgroup option p pre summary td th tr".split())
-OTHER_BLOCKS = set("article body html main tbody thead tfoot hr head".split())
-BLOCKS = CONTAINERS | TEXT_BLOCKS | OTHER_BLOCKS
+TEXT_BLOCKS = set("address blockquote center h1 h2 h3 h4 h5 h6 p pre".split())
+PART_BLOCKS = set("caption dd dt figcaption legend li optgroup option summary tbody td tfoot th thead tr".split())
+OTHER_BLOCKS = set("article body html main hr head".split())
+BLOCKS = CONTAINERS | TEXT_BLOCKS | PART_BLOCKS | OTHER_BLOCKS
 CLOSES_P = (CONTAINERS | set("address article blockquote center h1 h2 h3 h4 h5 h6 hr main p pre".split())) - {"table"}
 NOT_TEXT = set("aside button datalist dialog footer form head math menu nav object search select svg template".split())
 #: An element of the first kind ends when one of the second begins, unless one of the third stands between.
@@ -50,11 +51,9 @@ _MARKED_NAME = re.compile(rf"(?:(?:{_SAYS})(?:[-_].*)?|(?!(?:has|no|with|without
 _OF_READERS = re.compile(r"(?:ads?|advert\w*|comments?|promo\w*|related|repl(?:y|ies)|respond|sponsor\w*|teaser)(?:[-_].*)?\Z", re.I)
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_BLANKS = re.compile(r"\s+")
 _HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 CANDIDATE, LEFT_OUT, MAIN, OF_ARTICLE = 1, 2, 4, 8
-SUBTREES = "array<struct<hash: bigint, first: int, end: int, kind: int>>"
 
 
 def digest(data: bytes) -> bytes:
@@ -132,7 +131,10 @@ class Page:
                 self.begin(name, tag[3])
 
     def said(self, text: str) -> None:
-        text = _BLANKS.sub(" ", unescape(text) if "&" in text else text)
+        if "&" in text:
+            text = unescape(text)
+        words = " ".join(text.split())
+        text = f"{' ' * text[0].isspace()}{words}{' ' * text[-1].isspace()}" if words else " "
         self.text.append(text)
         if self.stack and text != " ":
             self.stack[-1][1].append(text.encode("utf-8", "surrogatepass"))
@@ -257,7 +259,8 @@ def templates(found: DataFrame, many: int = MANY_PAGES) -> DataFrame:
 
 
 def read_pages(keyed: DataFrame) -> DataFrame:
-    """(page_id, url, k1, k2, pieces array<string>, subtrees) of every page."""
+    """(page_id, url, k1, k2, pieces, hashes, ranges) of every page: its text, and its subtrees as hash and as first piece, end
+    and kind, packed into 30, 30 and 4 bits of a number."""
     ship(keyed.sparkSession)
     keys = keyed.select("page_id").schema[0].dataType.simpleString()
 
@@ -265,18 +268,24 @@ def read_pages(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices([batch], "html"):
                 pages = [Page(html) for html in part.column("html").to_pylist()]
-                subtrees = [[{"hash": h, "first": a, "end": b, "kind": k} for h, a, b, k in p.subtrees if a < b] for p in pages]
-                kind = pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())]))
+                hashes = [[h for h, a, b, _ in p.subtrees if a < b] for p in pages]
+                ranges = [[a << 34 | b << 4 | k for _, a, b, k in p.subtrees if a < b] for p in pages]
                 pieces = pa.array([[s.encode("utf-8", "replace") for s in p.pieces] for p in pages], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in ("page_id", "url", "k1", "k2")] + [pieces, pa.array(subtrees, kind)],
-                    ["page_id", "url", "k1", "k2", "pieces", "subtrees"],
+                    [part.column(c) for c in ("page_id", "url", "k1", "k2")] + [pieces, *(pa.array(v, pa.list_(pa.int64())) for v in (hashes, ranges))],
+                    ["page_id", "url", "k1", "k2", "pieces", "hashes", "ranges"],
                 )
 
-    schema = f"page_id {keys}, url string, k1 long, k2 long, pieces array<string>, subtrees {SUBTREES}"
+    schema = f"page_id {keys}, url string, k1 long, k2 long, pieces array<string>, hashes array<long>, ranges array<long>"
     return keyed.select("page_id", "url", "k1", "k2", "html").mapInArrow(run, schema)
 
 
+def unpacked(hashes: Column, ranges: Column) -> Column:
+    """Packed subtrees as structs (hash, first, end, kind)."""
+    bits = lambda v, shift, width: F.shiftrightunsigned(v, shift).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+    return F.zip_with(hashes, ranges, lambda h, r: F.struct(h.alias("hash"), bits(r, 34, 30).alias("first"), bits(r, 4, 30).alias("end"), bits(r, 0, 4).alias("kind")))
+
+
 def _inside(ranges: Column, i: Column) -> Column:
     return F.exists(ranges, lambda r: (r["first"] <= i) & (i < r["end"]))
 
@@ -301,7 +310,7 @@ def extract(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     found = written(occurrences(keyed), "containers")
     recurring = templates(found, many).select("host", "hash")
     deleted = found.join(recurring, ["host", "hash"]).groupBy("k1", "k2").agg(F.collect_set("hash").alias("deleted"))
-    rows = read_pages(keyed).join(deleted, ["k1", "k2"], "left")
+    rows = read_pages(keyed).join(deleted, ["k1", "k2"], "left").withColumn("subtrees", unpacked(F.col("hashes"), F.col("ranges")))
     recurs = lambda s: (s["kind"].bitwiseAND(CANDIDATE) != 0) & F.coalesce(F.array_contains("deleted", s["hash"]), F.lit(False))
     marked = lambda s: s["kind"].bitwiseAND(LEFT_OUT) != 0
     rows = rows.withColumn("of_template", F.filter("subtrees", recurs)).withColumn("left_out", F.filter("subtrees", lambda s: marked(s) & ~recurs(s)))
