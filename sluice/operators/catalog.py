@@ -44,8 +44,9 @@ def resolve_predictions(results: DataFrame, images: DataFrame, sessions: DataFra
     return found.withColumn("image_id", F.coalesce("_by_session", "_anywhere")).drop("_stem", "_folder", "_by_session", "_anywhere")
 
 
-def resolve_sessions(folders: DataFrame, sessions: DataFrame) -> DataFrame:
-    """folder, session_id, is_new: an equal label, else an equal normalised label (smallest id), else a new id in label order.
+def resolve_sessions(folders: DataFrame, sessions: DataFrame, last_id: int | None = None) -> DataFrame:
+    """folder, session_id, is_new: an equal label, else an equal normalised label (smallest id), else a new id in label order,
+    after last_id (by default the largest of sessions, which otherwise may be those of these labels alone).
 
     Folders that differ only in spelling and match no session get one new session each label, as labels are unique.
     """
@@ -53,7 +54,7 @@ def resolve_sessions(folders: DataFrame, sessions: DataFrame) -> DataFrame:
     loose = sessions.groupBy(S.normal_label("label").alias("_k")).agg(F.min("session_id").alias("_l"))
     found = folders.select("folder").distinct().join(exact, "folder", "left").withColumn("_k", S.normal_label("folder")).join(loose, "_k", "left")
     found = found.withColumn("_known", F.coalesce("_e", "_l"))
-    top = sessions.agg(F.coalesce(F.max("session_id"), F.lit(0)).cast("long").alias("_top"))
+    top = sessions.agg((F.lit(last_id) if last_id is not None else F.coalesce(F.max("session_id"), F.lit(0))).cast("long").alias("_top"))
     fresh = assign_ids(found.filter("_known IS NULL").select("folder"), "folder", "_rank").join(F.broadcast(top)).select("folder", (F.col("_rank") + F.col("_top")).alias("_fresh"))
     out = found.join(fresh, "folder", "left")
     return out.select("folder", F.coalesce(F.col("_known").cast("long"), "_fresh").alias("session_id"), F.col("_known").isNull().alias("is_new"))

@@ -3,9 +3,12 @@ tables and reads back, each with its SQL twin."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import sampling as P
 from ..operators import scoring
@@ -15,6 +18,7 @@ from ..streaming import live
 from .pictures import bright_part, jpeg_head, shade, two_tone_png, write_files
 from .queries_evaluate import EV, label_boxes
 from .shared import fresh_path, written
+from .ship import ship
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -329,19 +333,34 @@ def u06_orientation(spark, d):
 # -- streams ---------------------------------------------------------------------------------------------------------
 
 
-def as_stream(df: DataFrame, by: str, rows: int = 1) -> DataFrame:
-    """df written in files by ascending `by`, read as a stream of one file per batch."""
+def in_batches(df: DataFrame, by: str, batches: int, start: Callable[[DataFrame], StreamingQuery], session: SparkSession | None = None) -> None:
+    """df handed to a stream in batches of ascending `by`: each arrives in files written by all tasks, and the stream is
+    stopped after it and started again from its checkpoint for the next."""
     path = fresh_path(df.sparkSession, "stream")
-    for k in range(rows):
-        df.filter(F.col(by) == k).drop(by).coalesce(1).write.mode("append").parquet(path)
-    schema = df.drop(by).schema
-    return df.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = df.drop(by)
+    for k in range(batches):
+        df.filter(F.col(by) == k).drop(by).write.mode("append").parquet(path)
+        start((session or df.sparkSession).readStream.schema(rows.schema).parquet(path)).awaitTermination()
+
+
+def stored_stream(spark: SparkSession, df: DataFrame, by: str, batches: int, change: Callable[[DataFrame], DataFrame], session: SparkSession | None = None) -> DataFrame:
+    """What a stream appends to a table, over df in batches."""
+    out, checkpoint = fresh_path(spark, "appended"), fresh_path(spark, "checkpoint")
+    made: dict = {}
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        rows = change(stream)
+        made["schema"] = rows.schema
+        return rows.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    in_batches(df, by, batches, start, session)
+    return spark.read.schema(made["schema"]).parquet(out)
 
 
-def _drops(spark: SparkSession, d: str) -> DataFrame:
+def _drops(spark: SparkSession, d: str, root: str = "/drop") -> DataFrame:
     """Listing of a drop folder: path, modificationTime; folders fill one after another."""
     s = suppliers(spark, d)
-    path = F.concat(F.lit("/drop/week"), F.col("nation").cast("string"), F.lit("/s"), key_text(), F.when(F.col("k") % 6 == 0, ".txt").otherwise(".JPG"))
+    path = F.concat(F.lit(f"{root}/week"), F.col("nation").cast("string"), F.lit("/s"), key_text(), F.when(F.col("k") % 6 == 0, ".txt").otherwise(".JPG"))
     return s.select(path.alias("path"), F.timestamp_seconds(F.lit(1_714_521_600) + F.col("nation") * 100 + F.col("k") % 5 * 4).alias("modificationTime"), "k", "nation")
 
 
@@ -351,19 +370,21 @@ def _drops(spark: SparkSession, d: str) -> DataFrame:
 )
 def t02_settled_folders(spark, d):
     """The stream form: a folder comes out when a later file anywhere shows that it has been quiet for 20 seconds."""
-    stream = as_stream(_drops(spark, d).select("path", "modificationTime", F.lit(0).alias("b")), "b")
-    out, checkpoint = fresh_path(spark, "settled"), fresh_path(spark, "checkpoint")
-    live.settled_folders(stream).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("folder string, first_change timestamp, settled_at timestamp, files long").parquet(out).select("folder", "files", "settled_at")
+    drops = _drops(spark, d).select("path", "modificationTime", F.least(F.floor(F.col("nation") / 9), F.lit(2)).alias("b"))
+    return stored_stream(spark, drops, "b", 3, live.settled_folders).select("folder", "files", "settled_at")
 
 
 @query(
-    f"{SUP}, f AS (SELECT 'week' || nation AS label, 's' || k AS name, k FROM sup WHERE k % 6 <> 0) SELECT label, name, true AS pushed FROM f"
+    f"{SUP}, f AS (SELECT 'week' || nation AS label, k, nation * 100 + k % 5 * 4 AS t FROM sup WHERE k % 6 <> 0), g AS (SELECT label FROM f GROUP BY 1 HAVING max(t) + 20 <= (SELECT max(t) FROM f)), "
+    "i AS (SELECT DENSE_RANK() OVER (ORDER BY label) AS session_id, label FROM g) "
+    "SELECT label, 's' || k AS name, label || '/s' || k || '.JPG' AS file_path, length('photo ' || k)::BIGINT AS file_size, sha256('photo ' || k) AS content_hash, true AS pushed FROM f JOIN g USING (label)"
 )
 def t01_folder_ingest(spark, d):
-    """Three batches of new files; the labelling service is away for the second, and its tasks are pushed with the
-    third. The first batch comes twice, as after a loss, and leaves the same rows."""
-    store, checkpoint = fresh_path(spark, "ingest"), fresh_path(spark, "checkpoint")
+    """Folders are ingested once they have settled, in three batches with the stream stopped between them; the labelling service is
+    away at the second push, and its tasks are pushed later."""
+    root, store, checkpoint = fresh_path(spark, "drop"), fresh_path(spark, "ingest"), fresh_path(spark, "checkpoint")
+    drops = _drops(spark, d, "")
+    write_files(drops.select(F.substring("path", 2, 1000).alias("path"), F.concat(F.lit("photo "), key_text()).alias("content")), root)
     calls = []
 
     def push(tasks: DataFrame) -> None:
@@ -371,23 +392,25 @@ def t01_folder_ingest(spark, d):
         if len(calls) == 2:
             raise RuntimeError("away")
 
-    loop = live.FolderIngest(spark, store, push)
-    drops = _drops(spark, d).select("path", (F.col("k") % 3).alias("b"))
-    loop.ingest(drops.filter("b = 0").drop("b"), 0)
-    loop.run(as_stream(drops, "b", 3), checkpoint).awaitTermination()
-    loop.push_pending(3)
-    images, sessions, pushed = loop.images.all(), loop.sessions.all(), loop.pushed.all()
-    rows = images.join(sessions.select("session_id", "label"), "session_id").join(pushed.select("file_path", F.lit(True).alias("pushed")), "file_path", "left")
-    return rows.select("label", F.col("original_name").alias("name"), F.coalesce("pushed", F.lit(False)).alias("pushed"))
+    loop = live.FolderIngest(spark, root, store, push)
+    listing = drops.select("path", "modificationTime", F.least(F.floor(F.col("nation") / 9), F.lit(2)).alias("b"))
+    in_batches(listing, "b", 3, lambda stream: loop.run(stream, checkpoint))
+    loop.push_pending("after the stream", 0)
+    waiting = loop.pending.state().select("file_path", F.lit(False).alias("pushed"))
+    rows = loop.images.state().join(loop.sessions.state(), "session_id").join(waiting, "file_path", "left")
+    return rows.select("label", F.col("original_name").alias("name"), "file_path", "file_size", "content_hash", F.coalesce("pushed", F.lit(True)).alias("pushed"))
 
 
 @query("WITH c AS (SELECT conv_id * 2 + turn % 2 AS annotation_id, conv_id AS image_id FROM conversations) SELECT DISTINCT annotation_id, image_id FROM c")
 def t06_annotation_pull(spark, d):
-    """Annotations that come again in later batches are taken once; the table is the stream's memory."""
-    store, checkpoint = fresh_path(spark, "pulled"), fresh_path(spark, "checkpoint")
+    """Annotations that come again in later batches are taken once, also by a second stream with a checkpoint of its own:
+    the table is the memory of both."""
+    store = fresh_path(spark, "pulled")
     c = T.table(spark, d, "conversations").select((F.col("conv_id") * 2 + F.col("turn") % 2).alias("annotation_id"), F.col("conv_id").alias("image_id"), F.least(F.col("turn"), F.lit(3)).alias("b"))
-    live.pull_once(as_stream(c, "b", 4), "annotation_id", store, checkpoint).awaitTermination()
-    return spark.read.parquet(store).select("annotation_id", "image_id")
+    for half in (c.filter("b < 2"), c.filter("b > 0").withColumn("b", F.col("b") - 1)):
+        checkpoint = fresh_path(spark, "checkpoint")
+        in_batches(half, "b", 3, lambda stream, at=checkpoint: live.pull_once(stream, "annotation_id", store, at))
+    return live.pulled(spark, store, c.drop("b"), "annotation_id").state()
 
 
 @query("WITH e AS (SELECT user_id AS image_id, value > 0 AND event_id % 3 <> 0 AS valid, event_id AS seq FROM events) SELECT image_id FROM e GROUP BY 1 HAVING arg_max(valid, seq)")
@@ -397,5 +420,56 @@ def t07_review_set(spark, d):
     e = T.table(spark, d, "events")
     top = e.agg(F.max("event_id")).first()[0] or 0
     changes = e.select(F.col("user_id").alias("image_id"), ((F.col("value") > 0) & (F.col("event_id") % 3 != 0)).alias("valid"), F.col("event_id").alias("seq"), F.least(F.floor(F.col("event_id") * 4 / (top + 1)), F.lit(3)).alias("b"))
-    live.review_set(as_stream(changes, "b", 4), "image_id", store, checkpoint).awaitTermination()
-    return live.review_members(live.Epochs(spark, store, "image_id long, change string"), "image_id")
+    in_batches(changes, "b", 4, lambda stream: live.review_set(stream, "image_id", store, checkpoint))
+    return live.review_table(spark, store, changes, "image_id").state()
+
+
+@query(
+    f"{_BRIGHT} SELECT pic.file, coalesce(conf >= 0.10, false) AS has_fish, CASE WHEN pic.bad THEN 'unreadable' END AS error FROM pic LEFT JOIN hit USING (k)"
+)
+def t03_resumable_stream(spark, d):
+    """A run over pictures that is stopped twice and goes on from its checkpoint; frames that can't be read are entries of the
+    journal, every frame is one entry, and a start with other settings is refused."""
+    journal, checkpoint = fresh_path(spark, "journal"), fresh_path(spark, "checkpoint")
+    ship(spark)
+    settings = {"model": "bright part", "conf": 0.1}
+    score = lambda images: scoring.score_images(images, bright_part)
+    pics = pictures(spark, d).select("file", "height", "width", "nChannels", "data", (F.col("k") % 3).alias("b"))
+    in_batches(pics, "b", 3, lambda stream: live.resumable_run(stream, score, settings, journal, checkpoint))
+    try:
+        live.resumable_run(spark.readStream.schema(pics.drop("b").schema).parquet(journal), score, settings | {"conf": 0.2}, journal, checkpoint)
+        raise AssertionError("other settings were taken")
+    except live.SettingsChanged:
+        pass
+    entries = spark.read.schema(J.ENTRY).json(journal)
+    return entries.select("file", (F.coalesce(F.size("detections"), F.lit(0)) > 0).alias("has_fish"), "error")
+
+
+@query(
+    "SELECT window_start, window_end, species, count(*) AS n FROM (SELECT time_bucket(INTERVAL '60 minutes', ts) AS window_start, time_bucket(INTERVAL '60 minutes', ts) + INTERVAL '60 minutes' AS window_end, event_type AS species FROM events) "
+    "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes' GROUP BY ALL"
+)
+def t04_live_time_bins(spark, d):
+    """The stream form, stopped and resumed twice: a bin comes out once the watermark has passed its end."""
+    e = T.table(spark, d, "events")
+    low, high = e.agg(F.min(F.col("ts").cast("timestamp").cast("double")), F.max(F.col("ts").cast("timestamp").cast("double"))).first()
+    part = F.least(F.floor((F.col("ts").cast("timestamp").cast("double") - F.lit(low or 0.0)) * 3 / F.lit(max((high or 0.0) - (low or 0.0), 1.0))), F.lit(2))
+    return stored_stream(spark, e.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("species"), part.alias("b")), "b", 3, live.binned_counts)
+
+
+@query(
+    "WITH e AS (SELECT user_id AS image_id, event_id AS seq, event_type AS tag, CASE WHEN user_id % 3 = 0 THEN 'start' END AS seed FROM events), "
+    "l AS (SELECT image_id, tag, coalesce(lag(tag) OVER (PARTITION BY image_id ORDER BY seq), seed) AS before FROM e) SELECT image_id, tag AS new_tags, count(*) AS n FROM l WHERE before IS NOT NULL AND before <> tag GROUP BY ALL"
+)
+def t05_tag_changes(spark, d):
+    """The stream form: every event is a snapshot of an image's tags, in order of event_id; every third image is known before."""
+    session = live.state_session(spark)
+    ship(spark)
+    e = T.table(spark, d, "events")
+    top = e.agg(F.max("event_id")).first()[0] or 0
+    snapshots = e.select(F.col("user_id").cast("long").alias("image_id"), F.array("event_type").alias("tags"), F.col("event_id").alias("seq"), F.least(F.floor(F.col("event_id") * 3 / (top + 1)), F.lit(2)).alias("b"))
+    known = fresh_path(spark, "known-tags")
+    snapshots.filter("image_id % 3 = 0").select("image_id", F.array(F.lit("start")).alias("tags")).distinct().write.parquet(known)
+    change = lambda stream: live.tag_changes_stream(stream, session.read.parquet(known), "seq")
+    found = stored_stream(spark, snapshots, "b", 3, change, session)
+    return found.groupBy("image_id", F.array_join("tags", ",").alias("new_tags")).agg(F.count("*").alias("n"))

@@ -24,16 +24,18 @@ def _below(root: str) -> Column:
     return F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), f"^\\Q{plain}\\E/", "")
 
 
-def files(spark: SparkSession, root: str) -> DataFrame:
+def files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
 
 
-def scan_archive(spark: SparkSession, root: str, session: str | None = None) -> DataFrame:
-    """file_path (relative), session label (parent folder, `unsorted` at the root), original_name, size, content hash.
+def scan_archive(spark: SparkSession, root: str, session: str | None = None, folders: list[str] | None = None) -> DataFrame:
+    """file_path (relative), session label (parent folder, `unsorted` at the root), original_name, size, content hash. With
+    folders, only those below root are read.
 
     Of equal names in a session (one picture in two formats) the last path counts.
     """
-    rel = files(spark, root).withColumn("rel", _below(root)).filter(is_image("rel"))
+    listed = files(spark, root if folders is None else [f"{root.rstrip('/')}/{f}" for f in folders])
+    rel = listed.withColumn("rel", _below(root)).filter(is_image("rel"))
     parent = F.nullif(F.regexp_extract("rel", "([^/]*)/[^/]*$", 1), F.lit(""))
     label = F.lit(session) if session else F.coalesce(parent, F.lit("unsorted"))
     rows = rel.select(

@@ -5,6 +5,9 @@ import struct
 import zlib
 
 import numpy as np
+import datetime
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,62 +162,121 @@ def test_settled_folders_and_first_of_each(spark, tmp_path):
 
 
 def in_batches(spark, folder, schema, *batches):
-    for k, rows in enumerate(batches):
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
 
 
 def test_pulls_are_exactly_once(spark, tmp_path):
-    stream = in_batches(spark, tmp_path / "in", "id long, v string", [(1, "a"), (1, "a"), (None, "x")], [(2, "b"), (1, "again")], [])
+    stream = in_batches(spark, tmp_path / "in", "id long, v string", [(1, "b"), (1, "a"), (None, "x")], [(2, "b"), (1, "again")], [])
+    live.pull_once(stream, "id", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    table = live.pulled(spark, str(tmp_path / "out"), stream, "id")
+    assert sorted(map(tuple, table.state().collect())) == [(1, "a"), (2, "b")]
+    # a second stream with a fresh checkpoint adds to what is there
+    more = in_batches(spark, tmp_path / "more", "id long, v string", [(2, "other"), (3, "c")])
+    live.pull_once(more, "id", str(tmp_path / "out"), str(tmp_path / "cp2")).awaitTermination(120)
+    assert sorted(map(tuple, table.state().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    # and the first one goes on where it stopped
+    spark.createDataFrame([(4, "d"), (3, "late")], "id long, v string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     live.pull_once(stream, "id", str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+    assert sorted(map(tuple, table.state().collect())) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
 
 
 def test_review_set_follows_the_last_change(spark, tmp_path):
     batches = [(1, True, 1), (2, True, 2)], [(2, False, 3), (3, True, 4), (3, None, 5)], [(3, True, 6), (1, True, 7)]
     stream = in_batches(spark, tmp_path / "in", "image_id long, valid boolean, seq long", *batches)
     live.review_set(stream, "image_id", str(tmp_path / "set"), str(tmp_path / "cp")).awaitTermination(120)
-    log = live.Epochs(spark, str(tmp_path / "set"), "image_id long, change string")
-    assert sorted(r.image_id for r in live.review_members(log, "image_id").collect()) == [1, 3]
-    assert log.all().filter("image_id = 1").count() == 1  # a change to what it is already adds nothing
+    table = live.review_table(spark, str(tmp_path / "set"), stream, "image_id")
+    assert sorted(r.image_id for r in table.state().collect()) == [1, 3]
+    assert table._rows(table.manifest()["runs"]).filter("image_id = 1").count() == 1  # a change to what it is already adds nothing
+
+
+def tag_stream(spark, session, folder, schema, *batches):
+    in_batches(spark, folder, schema, *batches)
+    return session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
 
 
 def test_tag_changes_stream(spark, tmp_path):
-    schema = "image_id long, tags array<string>"
-    spark.createDataFrame([(1, ["a", "b"]), (2, ["x"]), (3, ["new"])], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
-    seed = spark.createDataFrame([(1, ["b", "a"]), (2, ["y"])], schema)
-    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    got = {(r.image_id, tuple(r.tags)) for r in run_stream(spark, live.tag_changes_stream(stream, seed), "tags", tmp_path)}
-    assert got == {(2, ("x",))}
-    assert {r.image_id for r in live.tag_changes(seed, spark.read.parquet(str(tmp_path / "in"))).collect()} == {2}
+    schema, session = "image_id long, tags array<string>", live.state_session(spark)
+    stream = tag_stream(spark, session, tmp_path / "in", schema, [(1, ["a", "b"]), (2, ["x"]), (3, ["new"]), (4, None), (None, ["z"])], [(3, ["new", "new"]), (4, ["t"])])
+    seed = session.createDataFrame([(1, ["b", "a"]), (2, ["y"]), (9, ["never seen again"])], schema)
+    got = {(r.image_id, tuple(r.tags)) for r in run_stream(session, live.tag_changes_stream(stream, seed), "tags", tmp_path)}
+    assert got == {(2, ("x",)), (4, ("t",))}
+    batch = spark.createDataFrame([(1, ["b", "a"]), (2, ["y"])], schema)
+    assert {r.image_id for r in live.tag_changes(batch, spark.createDataFrame([(1, ["a", "b"]), (2, ["x"])], schema)).collect()} == {2}
+
 
+def test_tag_snapshots_follow_their_order_and_are_forgotten(spark, tmp_path):
+    import time
+    from datetime import timedelta
 
-def test_tag_snapshots_of_one_batch_follow_their_order(spark, tmp_path):
+    schema, session = "image_id long, tags array<string>, seq long", live.state_session(spark)
     rows = [(1, ["a"], 3), (1, ["b"], 2), (1, ["a"], 1), (2, ["x"], 1)], [(1, ["b"], 2), (2, ["y"], 2)]
-    stream = in_batches(spark, tmp_path / "in", "image_id long, tags array<string>, seq long", *rows)
-    got = [(r.image_id, tuple(r.tags)) for r in run_stream(spark, live.tag_changes_stream(stream, order="seq"), "ordered", tmp_path)]
+    stream = tag_stream(spark, session, tmp_path / "in", schema, *rows)
+    got = [(r.image_id, tuple(r.tags)) for r in run_stream(session, live.tag_changes_stream(stream, order="seq"), "ordered", tmp_path)]
     assert sorted(got) == [(1, ("a",)), (1, ("b",)), (2, ("y",))]  # the late snapshot of image 1 is passed over
 
+    def remembered(rows, out):
+        stream = tag_stream(spark, session, tmp_path / "two", schema, rows)
+        found = live.tag_changes_stream(stream, order="seq", keep=timedelta(seconds=1))
+        found.writeStream.format("parquet").option("path", str(tmp_path / out)).option("checkpointLocation", str(tmp_path / "cp-forgetful")).trigger(availableNow=True).start().awaitTermination(120)
+        return session.read.schema("image_id long, tags array<string>").parquet(str(tmp_path / out)).count()
 
-def test_ingest_stands_when_the_push_fails(spark, tmp_path):
+    assert remembered([(1, ["a"], 1), (2, ["x"], 1)], "out") == 0
+    time.sleep(2)
+    assert remembered([(1, ["b"], 2)], "out") == 0  # the image was forgotten, so the snapshot seeds it anew
+
+
+def test_only_settled_folders_are_ingested_and_a_failed_push_stays_pending(spark, tmp_path):
     pushed = []
 
     def push(tasks):
         if not pushed:
             pushed.append(None)
             raise RuntimeError("away")
-        pushed.extend(r.file_path for r in tasks.collect())
-
-    loop = live.FolderIngest(spark, str(tmp_path / "store"), push)
-    stream = in_batches(spark, tmp_path / "in", "path string", [("/d/W1/a.jpg",), ("/d/W1/a.png",), ("/d/W1/n.txt",)], [("/d/w1/b.jpg",), ("/d/W2/a.jpg",)])
+        pushed.extend((r.file_path, r.task_key) for r in tasks.collect())
+
+    for name in ("W1/a.jpg", "W1/a.png", "W1/n.txt", "w1/b.jpg", "W2/a.jpg", "W3/c.jpg"):
+        (tmp_path / "drop" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "drop" / name).write_bytes(name.encode())
+    loop = live.FolderIngest(spark, str(tmp_path / "drop"), str(tmp_path / "store"), push)
+    at = lambda name, t: (f"{tmp_path}/drop/{name}", datetime.datetime.fromtimestamp(t))
+    stream = in_batches(
+        spark, tmp_path / "in", "path string, modificationTime timestamp", [at("W1/a.jpg", 1000), at("W1/a.png", 1005), at("W1/n.txt", 1100)],
+        [at("w1/b.jpg", 1200), at("W2/a.jpg", 1210)], [at("W3/c.jpg", 1300)],
+    )
     loop.run(stream, str(tmp_path / "cp")).awaitTermination(120)
-    assert sorted(pushed[1:]) == ["/d/W1/a.png", "/d/W2/a.jpg", "/d/w1/b.jpg"]
-    assert {(r.session_id, r.label) for r in loop.sessions.all().collect()} == {(1, "W1"), (2, "W2")}
-    assert loop.images.all().groupBy("session_id").count().collect() and loop.push_pending(9) and len(pushed) == 4
+    assert sorted(p for p, _ in pushed[1:]) == ["W1/a.png", "W2/a.jpg", "w1/b.jpg"] and len({k for _, k in pushed[1:]}) == 3
+    assert {(r.session_id, r.label) for r in loop.sessions.state().collect()} == {(1, "W1"), (2, "W2")}  # W3 may still grow
+    images = {r.file_path: r for r in loop.images.state().collect()}
+    assert set(images) == {"W1/a.png", "w1/b.jpg", "W2/a.jpg"} and images["w1/b.jpg"].session_id == 1
+    assert images["W2/a.jpg"].file_size == 8 and images["W2/a.jpg"].content_hash == hashlib.sha256(b"W2/a.jpg").hexdigest()
+    assert loop.pending.state().count() == 0
+    # a batch that comes again after a loss leaves the same rows
+    before = [sorted(map(str, t.state().collect())) for t in (loop.sessions, loop.images, loop.pending)]
+    name = live.stream_name(spark, str(tmp_path / "cp"))
+    last = max(m["batch"] for m in loop.images.manifest()["streams"].values())
+    loop.ingest(spark.createDataFrame([("W2",)], "folder string"), name, last)
+    loop.ingest(spark.createDataFrame([("W1",)], "folder string"), "another stream", 0)
+    assert [sorted(map(str, t.state().collect())) for t in (loop.sessions, loop.images, loop.pending)] == before
     add, drop = live.add_and_prune(spark.createDataFrame([(1,), (2,)], "image_id long"), spark.createDataFrame([(2,), (3,)], "image_id long"))
     assert [r.image_id for r in add.collect()] == [3] and [r.image_id for r in drop.collect()] == [1]
 
 
+def test_a_run_resumes_and_refuses_other_settings(spark, tmp_path):
+    schema = "file string"
+    score = lambda d: d.selectExpr("file", "1L AS width", "1L AS height", "0D AS blur", "0D AS brightness", "if(file LIKE '%bad%', 'unreadable', null) AS error", "array(named_struct('box', array(0L, 0L, 1L, 1L), 'confidence', 0.5D)) AS detections")
+    run = lambda stream, **s: live.resumable_run(stream, score, {"conf": 0.1, "model": "m"} | s, str(tmp_path / "journal"), str(tmp_path / "cp"))
+    stream = in_batches(spark, tmp_path / "in", schema, [("a",), ("bad",)])
+    run(stream).awaitTermination(120)
+    more = in_batches(spark, tmp_path / "in", schema, [("b",)])
+    run(more).awaitTermination(120)
+    with pytest.raises(live.SettingsChanged, match="conf: 0.1 before, 0.2 now"):
+        run(more, conf=0.2)
+    entries = spark.read.json(str(tmp_path / "journal")).collect()
+    assert sorted((r.file, getattr(r, "error", None)) for r in entries) == [("a", None), ("b", None), ("bad", "unreadable")]
+
+
 @pytest.fixture(autouse=True)
 def _clean(spark):
     yield
