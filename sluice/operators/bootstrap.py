@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,13 +24,14 @@ def numbered(frames: DataFrame) -> DataFrame:
 def draws(frames: DataFrame, rounds: int, seed: int, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per replicate and slot: band sizes are kept, each slot draws a frame of its band with replacement.
 
-    frames: the labelled sample (hundreds to thousands of frames); replicates x frames rows are spread over the cluster
-    and aggregated by replicate before they move.
+    frames: the labelled sample, numbered or not; replicates x frames rows are spread over the cluster and are to be
+    aggregated before they move.
     """
-    base = numbered(frames)
-    keep = [c for c in (columns or frames.columns) if c not in ("band", "_i")]
+    base = frames if "_i" in frames.columns else numbered(frames)
+    keep = [c for c in (columns or frames.columns) if c not in ("band", "_i", "_size")]
     slots = base.select("band", F.col("_i").alias("_slot"), "_size")
-    many = slots.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    tasks = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = slots.repartition(tasks, "band", "_slot").withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
     drawn = many.withColumn("_i", F.pmod(keyed_hash(seed, F.lit("|"), "replicate", F.lit("|"), "band", F.lit("|"), "_slot"), F.col("_size")).cast("int"))
     return drawn.select("replicate", "band", "_i").join(base.select("band", "_i", *keep), ["band", "_i"]).drop("_i")
 
@@ -46,26 +48,62 @@ def interval(values: DataFrame, value: str, rounds: int, alpha: float = 0.05, by
     return sorted_.select(*by, low.alias("low"), high.alias("high"), m.alias("defined"))
 
 
-def bootstrap(frames: DataFrame, statistics: dict[str, Column], rounds: int = 2000, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
-    """statistic, point, low, high, n for aggregate Columns over frames, all from the same replicates."""
-    names = list(statistics)
-    stack = F.explode(F.array(*(F.struct(F.lit(n).alias("statistic"), F.col(n).cast("double").alias("value")) for n in names)))
-    long = lambda d: d.select(*[c for c in d.columns if c == "replicate"], stack.alias("_s")).select("*", "_s.*").drop("_s")
-    point = long(frames.agg(*(s.alias(n) for n, s in statistics.items())))
-    per = long(draws(frames, rounds, seed).groupBy("replicate").agg(*(s.alias(n) for n, s in statistics.items())))
-    bounds = interval(per, "value", rounds, alpha, ["statistic"])
-    size = frames.agg(F.count("*").alias("n"))
-    joined = point.join(bounds, "statistic", "left").join(F.broadcast(size))
+@dataclass(frozen=True)
+class Ratio:
+    """A statistic of the form sum of weights where part holds / sum of weights where whole holds; null where that is 0."""
+
+    part: Column
+    whole: Column
+
+    def over(self, weight: Column) -> Column:
+        total = lambda c: F.sum(F.when(c, weight).otherwise(0.0))
+        whole = total(self.whole)
+        return F.when(whole > 0, total(self.part) / whole)
+
+
+def drawn_patterns(frames: DataFrame, by: Sequence[str], rounds: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(replicate, pattern, n: draws; pattern and the columns by). Frames that agree in `by` are one pattern; draws are
+    counted by it before they move, so what moves is bounded by patterns times rounds, whatever the size of the sample."""
+    patterns = written(frames.select(*by).distinct().withColumn("pattern", F.monotonically_increasing_id()), "patterns")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
+    placed = numbered(frames).alias("f").join(patterns.alias("p"), same).select("f.band", "f._i", "f._size", "p.pattern")
+    drawn = draws(written(placed, "numbered"), rounds, seed)
+    return drawn.groupBy("replicate", "pattern").agg(F.count("*").alias("n")), patterns
+
+
+def tested(frames: DataFrame, ratios: dict[str, Ratio]) -> tuple[DataFrame, dict[str, Ratio]]:
+    """(frames with the outcome of every ratio's tests alone, written once for all that reads them; the ratios over them)."""
+    own = {name: Ratio(F.col(f"_{k}_part"), F.col(f"_{k}_whole")) for k, name in enumerate(ratios)}
+    bits = [F.coalesce(c, F.lit(False)).alias(f"_{k}_{n}") for k, r in enumerate(ratios.values()) for n, c in (("part", r.part), ("whole", r.whole))]
+    return written(frames.select("frame_id", "band", "weight", *bits), "tested"), own
+
+
+def replicates(frames: DataFrame, ratios: dict[str, Ratio], rounds: int, seed: int) -> DataFrame:
+    """replicate and the value of every ratio in it, for tested frames."""
+    counted, patterns = drawn_patterns(frames, [c for c in frames.columns if c not in ("frame_id", "band")], rounds, seed)
+    values = [r.over(F.col("weight") * F.col("n")).alias(name) for name, r in ratios.items()]
+    return counted.join(patterns, "pattern").groupBy("replicate").agg(*values)
+
+
+def bootstrap(frames: DataFrame, ratios: dict[str, Ratio], rounds: int = 2000, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
+    """statistic, point, low, high, n for ratios over frames, all from the same replicates."""
+    frames, ratios = tested(frames, ratios)
+    stack = F.explode(F.array(*(F.struct(F.lit(n).alias("statistic"), F.col(n).cast("double").alias("value")) for n in ratios)))
+    point = frames.agg(*(r.over(F.col("weight")).alias(n) for n, r in ratios.items()), F.count("*").alias("n")).select(stack.alias("_s"), "n").select("_s.*", "n")
+    values = replicates(frames, ratios, rounds, seed).select(stack.alias("_s")).select("_s.*")
+    joined = point.join(interval(values, "value", rounds, alpha, ["statistic"]), "statistic", "left")
     has = F.col("value").isNotNull()
     return joined.select("statistic", F.col("value").alias("point"), F.when(has, F.col("low")).alias("low"), F.when(has, F.col("high")).alias("high"), "n")
 
 
-def difference(left: DataFrame, right: DataFrame, statistic: Column, rounds: int = 2000, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
-    """point, low, high, n of statistic(left) - statistic(right), both resampled in each replicate."""
-    one = lambda d, s, n: draws(d, rounds, s).groupBy("replicate").agg(statistic.alias(n))
+def difference(left: DataFrame, right: DataFrame, ratio: Ratio, rounds: int = 2000, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
+    """point, low, high, n of ratio(left) - ratio(right), both resampled in each replicate."""
+    (left, own), (right, _) = tested(left, {"value": ratio}), tested(right, {"value": ratio})
+    one = lambda d, s, n: replicates(d, own, rounds, s).withColumnRenamed("value", n)
     both = one(left, seed, "a").join(one(right, seed + 1, "b"), "replicate").withColumn("value", F.col("a") - F.col("b"))
-    at = left.agg(statistic.alias("a"), F.count("*").alias("na")).join(F.broadcast(right.agg(statistic.alias("b"), F.count("*").alias("nb"))))
-    return at.join(F.broadcast(interval(both, "value", rounds, alpha))).select((F.col("a") - F.col("b")).alias("point"), "low", "high", (F.col("na") + F.col("nb")).alias("n"))
+    at = lambda d, n: d.agg(own["value"].over(F.col("weight")).alias(n), F.count("*").alias(f"n{n}"))
+    points = at(left, "a").join(F.broadcast(at(right, "b")))
+    return points.join(F.broadcast(interval(both, "value", rounds, alpha))).select((F.col("a") - F.col("b")).alias("point"), "low", "high", (F.col("na") + F.col("nb")).alias("n"))
 
 
 def reraked_draws(frames: DataFrame, population: DataFrame, margins: Sequence[Column], rounds: int = 2000, seed: int = 20260923, inner: int = 25, tolerance: float = 1e-5) -> DataFrame:

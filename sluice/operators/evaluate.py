@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import BANDS
 from ..plans.shared import written
-from .bootstrap import draws, interval
+from .bootstrap import Ratio, drawn_patterns, interval
 
 #: The reporting thresholds of a sweep.
 THRESHOLDS = tuple(round(0.10 + 0.05 * k, 2) for k in range(17))
@@ -148,53 +148,66 @@ def with_scores(confusion: DataFrame) -> DataFrame:
     return confusion.withColumn("precision", p).withColumn("recall", r).withColumn("f1", f1(p, r))
 
 
-def statistic(kind: str, threshold: float, keep: Column | None = None) -> Column:
-    """An aggregate Column over rows with weight and: has_fish, max_conf (frame kinds) or conf, is_fish (box kinds).
+def ratio(kind: str, threshold: float, keep: Column | None = None) -> Ratio:
+    """A statistic over rows with weight and: has_fish, max_conf (frame kinds) or conf, is_fish (box kinds).
 
-    kind: frame_precision, frame_recall, box_precision, box_recall. Usable in any agg, so one pass computes many.
+    kind: frame_precision, frame_recall, box_precision, box_recall.
     """
-    w = F.col("weight")
-    total = lambda c: F.sum(F.when(c, w).otherwise(0.0))
     if kind.startswith("frame"):
         hit, fish = F.coalesce(F.col("max_conf") >= threshold, F.lit(False)), F.col("has_fish")
     else:
         hit, fish = F.coalesce(F.col("conf") >= threshold, F.lit(False)) & (F.lit(True) if keep is None else keep), F.col("is_fish")
-    tp = total(hit & fish)
-    return precision(tp, total(hit & ~fish)) if kind.endswith("precision") else recall(tp, total(~hit & fish))
+    return Ratio(hit & fish, hit if kind.endswith("precision") else fish)
+
+
+def statistic(kind: str, threshold: float, keep: Column | None = None) -> Column:
+    """The ratio as an aggregate Column, usable in any agg, so one pass computes many."""
+    return ratio(kind, threshold, keep).over(F.col("weight"))
 
 
 #: Resampling rounds of a sweep.
 SWEEP_ROUNDS = 1_000
 
 
-def sweep_parts(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float]) -> DataFrame:
-    """frame_id, parts: what one frame adds to the counts of every threshold and level, as structs of threshold, level,
-    tp, fp, fn. Every statistic of a sweep is a sum of these over frames."""
-    fish = F.col("has_fish")
-    flagged = lambda t: F.coalesce(F.col("max_conf") >= t, F.lit(False))
-    found = lambda t: F.coalesce(F.col("conf") >= t, F.lit(False))
+def sweep_marks(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """frame_id, marks: what a frame adds to a sweep, as structs of level, kind, bin and n.
 
-    def part(t: float, level: str, tp: Column, fp: Column, fn: Column) -> Column:
-        counts = (c.cast("long").alias(n) for c, n in ((tp, "tp"), (fp, "fp"), (fn, "fn")))
-        return F.struct(F.lit(float(t)).alias("threshold"), F.lit(level).alias("level"), *counts)
-
-    of_frame = [part(t, "frame", flagged(t) & fish, flagged(t) & ~fish, ~flagged(t) & fish) for t in thresholds]
-    of_boxes = [
-        part(t, "box", F.count_if(found(t) & F.col("is_fish")), F.count_if(found(t) & ~F.col("is_fish")), F.count_if(F.col("conf").isNull() | (~found(t) & F.col("is_fish"))))
-        for t in thresholds
-    ]
-    per_box = boxes.groupBy("frame_id").agg(F.array(*of_boxes).alias("_b"))
-    own = frames.select("frame_id", F.array(*of_frame).alias("_f")).join(per_box, "frame_id", "left")
-    return own.select("frame_id", F.concat("_f", F.coalesce("_b", F.array().cast(per_box.schema["_b"].dataType))).alias("parts"))
+    kind is 'fish' or 'other' for what has a confidence, in the bin of thresholds that it reaches, and 'missed' for what
+    has none. The counts of any threshold are sums of bins, so a frame has as many marks as it has different boxes,
+    however many thresholds there are.
+    """
+    reached = lambda c: sum((F.coalesce(F.col(c) >= float(t), F.lit(False)).cast("int") for t in thresholds), F.lit(0))
+    mark = lambda level, kind, at, n: F.struct(F.lit(level).alias("level"), kind.alias("kind"), at.cast("int").alias("bin"), n.cast("long").alias("n"))
+    truth = lambda c: F.when(F.col(c), "fish").otherwise("other")
+    kind = F.when(F.col("conf").isNull(), "missed").otherwise(truth("is_fish"))
+    counted = boxes.groupBy("frame_id", kind.alias("kind"), reached("conf").alias("bin")).agg(F.count("*").alias("n"))
+    per_box = counted.groupBy("frame_id").agg(F.collect_list(mark("box", F.col("kind"), F.col("bin"), F.col("n"))).alias("_b"))
+    own = frames.select("frame_id", F.array(mark("frame", truth("has_fish"), reached("max_conf"), F.lit(1))).alias("_f")).join(per_box, "frame_id", "left")
+    return own.select("frame_id", F.concat("_f", F.coalesce("_b", F.array().cast(per_box.schema["_b"].dataType))).alias("marks"))
 
 
 def sweep_intervals(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float] = THRESHOLDS, rounds: int = SWEEP_ROUNDS, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
-    """threshold, level, metric, low, high of every statistic of a sweep, all from one resampling of the frames."""
-    frames = written(frames.select("frame_id", "band", "weight", "has_fish", "max_conf"), "sampled")
-    parts = written(sweep_parts(frames, boxes, thresholds), "parts")
-    drawn = draws(frames.select("frame_id", "band", "weight"), rounds, seed).join(parts, "frame_id")
-    each = drawn.select("replicate", "weight", F.explode("parts").alias("p")).select("replicate", "weight", "p.*")
-    per = each.groupBy("replicate", "threshold", "level").agg(*(F.sum(F.col("weight") * F.col(c)).alias(c) for c in ("tp", "fp", "fn")))
+    """threshold, level, metric, low, high of every statistic of a sweep, all from one resampling of the frames.
+
+    Frames with the same band, weight and marks are one pattern. Draws are counted by pattern, patterns give a histogram
+    of bins per replicate, and the counts of all thresholds are sums over its upper bins.
+    """
+    ladder = sorted(float(t) for t in thresholds)
+    frames = frames.select("frame_id", "band", "weight", "has_fish", "max_conf")
+    marked = frames.join(sweep_marks(frames, boxes, ladder), "frame_id").withColumn("marks", F.array_sort("marks"))
+    marked = written(marked.select("frame_id", "band", "weight", "marks"), "marked")
+    counted, patterns = drawn_patterns(marked, ["weight", "marks"], rounds, seed)
+    each = counted.join(patterns, "pattern").select("replicate", "weight", "n", F.explode("marks").alias("m"))
+    bins = each.groupBy("replicate", "m.level", "m.kind", "m.bin").agg(F.sum(F.col("weight") * F.col("n") * F.col("m.n")).alias("w"))
+    held = bins.groupBy("replicate", "level").agg(F.collect_list(F.struct("kind", "bin", "w")).alias("bins"))  # at most three kinds of each bin
+
+    total = "aggregate(filter(bins, x -> {}), 0D, (s, x) -> s + x.w) AS {}"
+    sums = ", ".join(
+        total.format(test, name)
+        for name, test in (("tp", "x.kind = 'fish' AND x.bin > k"), ("fp", "x.kind = 'other' AND x.bin > k"), ("fn", "x.kind = 'missed' OR (x.kind = 'fish' AND x.bin <= k)"))
+    )
+    upper = F.expr(f"transform(ladder, (t, k) -> struct(t AS threshold, {sums}))")
+    per = held.withColumn("ladder", F.array(*map(F.lit, ladder))).select("replicate", "level", F.explode(upper).alias("c")).select("replicate", "level", "c.*")
     metric = F.explode(F.array(F.struct(F.lit("precision").alias("metric"), precision().alias("value")), F.struct(F.lit("recall").alias("metric"), recall().alias("value"))))
     values = per.select("threshold", "level", metric.alias("m")).select("threshold", "level", "m.*")
     return interval(values, "value", rounds, alpha, ["threshold", "level", "metric"]).drop("defined")

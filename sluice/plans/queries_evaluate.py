@@ -256,12 +256,12 @@ def as_interval(df: DataFrame) -> DataFrame:
 
 @query(_many({"frame_precision": _prec(0.25)}))
 def a22_stratified_bootstrap(spark, d):
-    return as_interval(B.bootstrap(eval_frames(spark, d), {"frame_precision": E.statistic("frame_precision", 0.25)}, ROUNDS))
+    return as_interval(B.bootstrap(eval_frames(spark, d), {"frame_precision": E.ratio("frame_precision", 0.25)}, ROUNDS))
 
 
 @query(_many({f"{k}_{int(t * 100)}": f(t) for t in (0.25, 0.5) for k, f in (("precision", _prec), ("recall", _rec))}))
 def a23_many_statistics_one_resampling(spark, d):
-    stats = {f"{k}_{int(t * 100)}": E.statistic(f"frame_{k}", t) for t in (0.25, 0.5) for k in ("precision", "recall")}
+    stats = {f"{k}_{int(t * 100)}": E.ratio(f"frame_{k}", t) for t in (0.25, 0.5) for k in ("precision", "recall")}
     return as_interval(B.bootstrap(eval_frames(spark, d), stats, ROUNDS))
 
 
@@ -271,7 +271,7 @@ def a23_many_statistics_one_resampling(spark, d):
 )
 def a24_difference_between_groups(spark, d):
     f = eval_frames(spark, d)
-    return as_interval(B.difference(f.filter("camera = 'Primary'"), f.filter("camera <> 'Primary'"), E.statistic("frame_recall", 0.5), ROUNDS))
+    return as_interval(B.difference(f.filter("camera = 'Primary'"), f.filter("camera <> 'Primary'"), E.ratio("frame_recall", 0.5), ROUNDS))
 
 
 @query("SELECT a.n_nationkey AS a, b.n_nationkey AS b, coalesce(CASE WHEN a.n_nationkey % 5 <> 0 THEN a.n_nationkey END <= b.n_nationkey + 4 AND b.n_nationkey <= CASE WHEN a.n_nationkey % 7 <> 0 THEN a.n_nationkey + 3 END, true) AS overlaps FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey")
