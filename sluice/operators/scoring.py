@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scalars import crop_rectangle
+from ..sources.journal import write_journal
 
 #: A scorer takes a list of BGR arrays and gives, in order, lists of (x1, y1, x2, y2, confidence) per image.
 Scorer = Callable[[list[np.ndarray]], Sequence[Sequence[tuple[float, float, float, float, float]]]]
@@ -43,6 +45,29 @@ def frame_statistics(a: np.ndarray) -> tuple[float, float]:
     return round(float(laplacian.var()), 1), round(float(grey.mean()), 1)
 
 
+def in_memory(model: Callable[[list], Sequence], arrays: list[np.ndarray]) -> list:
+    """What a scorer or classifier gives for arrays; where they are too many for its memory, in halves."""
+    try:
+        return list(model(arrays)) if arrays else []
+    except MemoryError:
+        if len(arrays) == 1:
+            raise
+        half = len(arrays) // 2
+        return in_memory(model, arrays[:half]) + in_memory(model, arrays[half:])
+
+
+def look(part: pd.DataFrame) -> list[np.ndarray | None]:
+    """Upright pixels of rows with height, width, nChannels, data and perhaps orientation; None where there are none."""
+    turns = part["orientation"] if "orientation" in part else [1] * len(part)
+    rows = zip(part["data"], part["height"], part["width"], part["nChannels"], turns)
+    return [None if data is None else upright(pixels(data, h, w, c), int(o) if o == o and o else 1) for data, h, w, c, o in rows]
+
+
+def recorded(found: Sequence, floor: float) -> list[dict]:
+    """Boxes of one picture at or above the floor, corners rounded half to even."""
+    return [{"box": [int(np.rint(v)) for v in b[:4]], "confidence": float(b[4])} for b in found if b[4] >= floor]
+
+
 def score_images(images: DataFrame, make_scorer: Callable[[], Scorer], floor: float = RECORDING_FLOOR, batch: int = 8) -> DataFrame:
     """Journal entries of images (file, height, width, nChannels, data, orientation optional).
 
@@ -57,19 +82,15 @@ def score_images(images: DataFrame, make_scorer: Callable[[], Scorer], floor: fl
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
-                arrays = [pixels(r.data, r.height, r.width, r.nChannels) if r.data is not None else None for r in part.itertuples()]
-                if turn:
-                    arrays = [None if a is None else upright(a, int(o or 1)) for a, o in zip(arrays, part[turn])]
-                good = [a for a in arrays if a is not None]
-                found = iter(scorer(good)) if good else iter(())
+                arrays = look(part)
+                found = iter(in_memory(scorer, [a for a in arrays if a is not None]))
                 rows = []
                 for file, a in zip(part["file"], arrays):
                     if a is None:
                         rows.append((file, None, None, None, None, "unreadable", None))
                         continue
                     blur, brightness = frame_statistics(a)
-                    boxes = [{"box": [int(np.rint(v)) for v in b[:4]], "confidence": float(b[4])} for b in next(found) if b[4] >= floor]
-                    rows.append((file, a.shape[1], a.shape[0], blur, brightness, None, boxes))
+                    rows.append((file, a.shape[1], a.shape[0], blur, brightness, None, recorded(next(found), floor)))
                 yield pd.DataFrame(rows, columns=["file", "width", "height", "blur", "brightness", "error", "detections"])
 
     columns = ["file", "height", "width", "nChannels", "data", *([turn] if turn else [])]
@@ -113,6 +134,55 @@ def classify(entries: DataFrame, images: DataFrame, make_classifier: Callable[[]
     return joined.mapInPandas(run, "file string, box_id int, confidence double, species string, class_confidence double, probabilities map<string,double>")
 
 
+def padded_crop(box: Sequence[int], width: int, height: int, padding: float) -> tuple[int, int, int, int] | None:
+    """The rectangle of `crop_rectangle` for one box in a task."""
+    x1, y1, x2, y2 = map(float, box)
+    px, py = (x2 - x1) * padding, (y2 - y1) * padding
+    a, b, c, d = max(0, int(x1 - px)), max(0, int(y1 - py)), min(width, int(x2 + px)), min(height, int(y2 + py))
+    return (a, b, c, d) if c > a and d > b else None
+
+
+def two_stage(images: DataFrame, make_scorer: Callable[[], Scorer], make_classifier: Callable[[], Classifier], padding: float = 0.1, floor: float = RECORDING_FLOOR, batch: int = 8) -> DataFrame:
+    """file, box_id, confidence, species, class_confidence, probabilities in one look: a task detects boxes in the pictures it
+    has decoded and classifies their crops at once, so pixels never move. The rows are those of `classify` over the entries
+    of `score_images`, which serves journals that are there already. Pictures that can't be decoded have no row."""
+    names = ["file", "box_id", "confidence", "species", "class_confidence", "probabilities"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, classifier = make_scorer(), make_classifier()
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch]
+                seen = [(f, a) for f, a in zip(part["file"], look(part)) if a is not None]
+                keys, cut = [], []
+                for (file, a), found in zip(seen, in_memory(scorer, [a for _, a in seen])):
+                    for k, b in enumerate(recorded(found, floor)):
+                        r = padded_crop(b["box"], a.shape[1], a.shape[0], padding)
+                        if r:
+                            keys.append((file, k, b["confidence"]))
+                            cut.append(a[r[1] : r[3], r[0] : r[2]])
+                rows = [(*key, s, float(p), dict(q)) for key, (s, p, q) in zip(keys, in_memory(classifier, cut))]
+                yield pd.DataFrame(rows, columns=names)
+
+    columns = [c for c in ("file", "height", "width", "nChannels", "data", "orientation") if c in images.columns]
+    return images.select(*columns).mapInPandas(run, "file string, box_id int, confidence double, species string, class_confidence double, probabilities map<string,double>")
+
+
+def run_batch(images: DataFrame, make_scorer: Callable[[], Scorer], journal: str, floor: float = RECORDING_FLOOR, batch: int = 8) -> DataFrame:
+    """Score images into a journal; one row of totals: images, unreadable, images_with_fish, total_fish, seconds (from
+    start to the last entry written) and seconds_per_image (null without images). Counts are observed while the entries are written, so
+    they are not scored or read again."""
+    seen = Observation("batch")
+    n = F.coalesce(F.size("detections"), F.lit(0))
+    counts = [F.count("*").alias("images"), F.count("error").alias("unreadable"), F.count_if(n > 0).alias("images_with_fish"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("total_fish")]
+    began = time.perf_counter()
+    write_journal(score_images(images, make_scorer, floor, batch).observe(seen, *counts), journal)
+    seconds = time.perf_counter() - began
+    got = seen.get
+    row = (*(got[c] for c in ("images", "unreadable", "images_with_fish", "total_fish")), seconds, seconds / got["images"] if got["images"] else None)
+    return images.sparkSession.createDataFrame([row], "images long, unreadable long, images_with_fish long, total_fish long, seconds double, seconds_per_image double")
+
+
 def tile_grid(images: DataFrame, size: int = 512, overlap: float = 0.3) -> DataFrame:
     """file, tx, ty of overlapping tiles that cover each image; the last tiles end at its edge."""
     step = max(1, int(size * (1 - overlap)))
@@ -126,39 +196,50 @@ def tile_grid(images: DataFrame, size: int = 512, overlap: float = 0.3) -> DataF
 
 def merged(boxes: np.ndarray, iou: float = 0.5) -> np.ndarray:
     """Greedy suppression: boxes (x1, y1, x2, y2, confidence) from the most confident, without those that overlap one kept."""
-    order = np.lexsort((boxes[:, 1], boxes[:, 0], -boxes[:, 4]))
+    left = boxes[np.lexsort((boxes[:, 1], boxes[:, 0], -boxes[:, 4]))]
     kept: list[np.ndarray] = []
-    for b in boxes[order]:
-        if kept:
-            k = np.array(kept)
-            w = np.minimum(k[:, 2], b[2]) - np.maximum(k[:, 0], b[0])
-            h = np.minimum(k[:, 3], b[3]) - np.maximum(k[:, 1], b[1])
-            both = np.clip(w, 0, None) * np.clip(h, 0, None)
-            area = (k[:, 2] - k[:, 0]) * (k[:, 3] - k[:, 1]) + (b[2] - b[0]) * (b[3] - b[1]) - both
-            if (both > iou * area).any():
-                continue
+    while len(left):
+        b, left = left[0], left[1:]
         kept.append(b)
+        w = np.minimum(left[:, 2], b[2]) - np.maximum(left[:, 0], b[0])
+        h = np.minimum(left[:, 3], b[3]) - np.maximum(left[:, 1], b[1])
+        both = np.clip(w, 0, None) * np.clip(h, 0, None)
+        area = (left[:, 2] - left[:, 0]) * (left[:, 3] - left[:, 1]) + (b[2] - b[0]) * (b[3] - b[1]) - both
+        left = left[~(both > iou * area)]
     return np.array(kept).reshape(-1, 5)
 
 
-def score_tiled(images: DataFrame, make_scorer: Callable[[], Scorer], size: int = 512, overlap: float = 0.3, iou: float = 0.5, floor: float = RECORDING_FLOOR) -> DataFrame:
-    """file, x1, y1, x2, y2, confidence in full-image coordinates: every tile is scored, overlaps are merged per image."""
-    turned = F.coalesce("orientation", F.lit(1)).isin(5, 6, 7, 8)  # the tiles are those of the upright picture
-    with_turn = images.select(*pixel_columns(images))
-    seen = with_turn.select("file", F.when(turned, F.col("height")).otherwise(F.col("width")).alias("width"), F.when(turned, F.col("width")).otherwise(F.col("height")).alias("height"))
-    tiles = tile_grid(seen, size, overlap).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("ty", "tx"))).alias("tiles"))
-    joined = with_turn.join(tiles, "file")
+def tile_starts(extent: int, size: int, step: int) -> list[int]:
+    """Where the tiles of one side begin: every step, the last one at the edge."""
+    last = max(extent - size, 0)
+    return sorted({*range(0, last + 1, step), last})
+
+
+def score_tiled(images: DataFrame, make_scorer: Callable[[], Scorer], size: int = 512, overlap: float = 0.3, iou: float = 0.5, floor: float = RECORDING_FLOOR, batch: int = 16) -> DataFrame:
+    """file, x1, y1, x2, y2, confidence in full-image coordinates: every tile of the upright picture is scored, overlaps are
+    merged per image.
+
+    Pictures stay where they are decoded. The scorer gets `batch` tiles at a time, views of the picture, so its memory
+    does not depend on how many tiles a picture has; of a picture only its boxes are kept until it is done, as a box may be hidden by
+    one of any later tile.
+    """
+    step = max(1, int(size * (1 - overlap)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for frame in frames:
-            for r in frame.itertuples():
-                if r.data is None:
+            for k in range(len(frame)):
+                (a,) = look(frame.iloc[k : k + 1])
+                if a is None:
                     continue
-                a = upright(pixels(r.data, r.height, r.width, r.nChannels), int(r.orientation or 1))
-                found = scorer([a[t["ty"] : t["ty"] + size, t["tx"] : t["tx"] + size] for t in r.tiles])
-                rows = [(b[0] + t["tx"], b[1] + t["ty"], b[2] + t["tx"], b[3] + t["ty"], b[4]) for t, bs in zip(r.tiles, found) for b in bs if b[4] >= floor]
-                out = pd.DataFrame(merged(np.array(rows, float).reshape(-1, 5), iou), columns=["x1", "y1", "x2", "y2", "confidence"])
-                yield out.assign(file=r.file)[["file", "x1", "y1", "x2", "y2", "confidence"]]
-
-    return joined.mapInPandas(run, "file string, x1 double, y1 double, x2 double, y2 double, confidence double")
+                at = [(y, x) for y in tile_starts(a.shape[0], size, step) for x in tile_starts(a.shape[1], size, step)]
+                boxes = [np.zeros((0, 5))]
+                for i in range(0, len(at), batch):
+                    some = at[i : i + batch]
+                    found = in_memory(scorer, [a[y : y + size, x : x + size] for y, x in some])
+                    boxes += [np.array([b], float) + (x, y, x, y, 0) for (y, x), bs in zip(some, found) for b in bs if b[4] >= floor]
+                out = pd.DataFrame(merged(np.concatenate(boxes), iou), columns=["x1", "y1", "x2", "y2", "confidence"])
+                out.insert(0, "file", frame["file"].iloc[k])
+                yield out
+
+    return images.select(*pixel_columns(images)).mapInPandas(run, "file string, x1 double, y1 double, x2 double, y2 double, confidence double")

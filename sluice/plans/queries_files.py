@@ -287,9 +287,8 @@ def u01_pluggable_scorer(spark, d):
 def u02_two_stage_scoring(spark, d):
     """Boxes, padded crops, classes; the pictures lie turned by 90 degrees in the archive, the crops are upright."""
     turned = turned_pictures(spark, d, 8)
-    entries = written(scoring.score_images(turned, bright_part), "entries")
-    two = scoring.classify(entries, turned, shade)
-    bare = scoring.classify(entries, turned, None).select("file", "box_id", F.col("species").alias("without"))
+    two = scoring.two_stage(turned, bright_part, shade)
+    bare = scoring.classify(scoring.score_images(turned, bright_part), turned, None).select("file", "box_id", F.col("species").alias("without"))
     out = two.join(bare, ["file", "box_id"])
     return out.select("file", "box_id", "species", F.round("class_confidence", 9).alias("class_confidence"), F.round(F.col("probabilities")["bright"], 9).alias("bright"), "without")
 
@@ -424,6 +423,14 @@ def t07_review_set(spark, d):
     return live.review_table(spark, store, changes, "image_id").state()
 
 
+@query(f"{_BRIGHT} SELECT count(*) AS images, sum(pic.bad::INT)::BIGINT AS unreadable, count(*) FILTER (conf >= 0.10) AS images_with_fish, count(*) FILTER (conf >= 0.10) AS total_fish, true AS timed FROM pic LEFT JOIN hit USING (k)")
+def a36_timed_batch(spark, d):
+    """Totals of a scoring run with its seconds per image, observed while the journal is written."""
+    totals = scoring.run_batch(pictures(spark, d), bright_part, fresh_path(spark, "journal"))
+    timed = (F.col("seconds") > 0) & (F.abs(F.col("seconds_per_image") * F.col("images") - F.col("seconds")) < 1e-6)
+    return totals.select("images", "unreadable", "images_with_fish", "total_fish", timed.alias("timed"))
+
+
 @query(
     f"{_BRIGHT} SELECT pic.file, coalesce(conf >= 0.10, false) AS has_fish, CASE WHEN pic.bad THEN 'unreadable' END AS error FROM pic LEFT JOIN hit USING (k)"
 )

@@ -123,6 +123,9 @@ def test_scoring_jobs(spark, tmp_path):
     assert {r.species for r in scoring.classify(table, pics, None).collect()} == {"unknown_fish"}
     grid = spark.createDataFrame([("f", 100, 60)], "file string, width long, height long")
     assert sorted((r.tx, r.ty) for r in scoring.tile_grid(grid, 50, 0.0).collect()) == [(0, 0), (0, 10), (50, 0), (50, 10)]
+    for extent in (1, 49, 50, 51, 99, 100, 150):
+        grid = spark.createDataFrame([("f", extent, 60)], "file string, width long, height long")
+        assert sorted({r.tx for r in scoring.tile_grid(grid, 50, 0.3).collect()}) == scoring.tile_starts(extent, 50, 35)
     boxes = np.array([[0, 0, 10, 10, 0.9], [1, 1, 11, 11, 0.8], [20, 20, 30, 30, 0.7]], float)
     assert len(scoring.merged(boxes)) == 2
     good = pics.filter("data IS NOT NULL")
@@ -130,6 +133,54 @@ def test_scoring_jobs(spark, tmp_path):
     assert tiled and all(r.x2 <= 64 for r in tiled)
 
 
+def test_two_stages_in_one_look(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    for k in range(9):
+        png(tmp_path / f"{k}.png", rng.integers(0, 255, (40 + k, 64, 3)).astype(np.uint8))
+    (tmp_path / "bad.png").write_bytes(b"no")
+
+    def make_scorer():
+        def score(arrays):
+            if len(arrays) > 2:
+                raise MemoryError
+            return [[(-3.5, 1.5, 20.4, 30.5, float(a.mean()) / 255), (60, 30, 64.4, 90, 0.3), (5, 5, 5, 9, 0.9), (0, 0, 9, 9, 0.01)] for a in arrays]
+
+        return score
+
+    make_classifier = lambda: lambda crops: [("s", float(c.mean()), {"h": float(c.shape[0]), "w": float(c.shape[1])}) for c in crops]
+    pics = files.images(spark, str(tmp_path)).withColumn("file", F.regexp_extract("origin", "([^/]*)$", 1)).withColumn("orientation", F.regexp_extract("file", "(\\d)", 1).try_cast("int"))
+    one = scoring.two_stage(pics, make_scorer, make_classifier)
+    two = scoring.classify(scoring.score_images(pics, make_scorer), pics, make_classifier)
+    key = lambda d: sorted((r.file, r.box_id, r.confidence, r.species, r.class_confidence, sorted(r.probabilities.items())) for r in d.collect())
+    assert key(one) == key(two) and one.count() >= 10
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    totals = scoring.run_batch(pics, make_scorer, str(tmp_path / "journal")).first()
+    assert (totals.images, totals.unreadable, totals.images_with_fish, totals.total_fish) == (10, 1, 9, 27)
+    assert totals.seconds > 0 and abs(totals.seconds_per_image * 10 - totals.seconds) < 1e-9
+    none = scoring.run_batch(pics.limit(0), make_scorer, str(tmp_path / "none")).first()
+    assert none.images == 0 and none.seconds_per_image is None
+
+
+def test_pictures_of_very_many_tiles(spark):
+    side = 1616
+    a = np.zeros((side, side, 1), np.uint8)
+    a[8::160, 8::160] = 255
+
+    def make_scorer():
+        def score(arrays):
+            assert len(arrays) <= 16
+            return [[(x - 2, y - 2, x + 2, y + 2, 0.5 + 0.4 * (x % 7) / 7) for y, x in zip(*np.nonzero(t[:, :, 0]))] for t in arrays]
+
+        return score
+
+    df = spark.createDataFrame([("big", side, side, 1, bytearray(a.tobytes()))], "file string, height int, width int, nChannels int, data binary")
+    tiled = scoring.score_tiled(df, make_scorer, 32, 0.5)  # 100 x 100 tiles
+    assert len(scoring.tile_starts(side, 32, 16)) ** 2 == 10_000
+    got = {((r.x1 + r.x2) / 2, (r.y1 + r.y2) / 2) for r in tiled.collect()}
+    assert got == {(float(x), float(y)) for y in range(8, side, 160) for x in range(8, side, 160)}
+    assert "Exchange" not in tiled._jdf.queryExecution().executedPlan().toString()
+
+
 # -- streams ----------------------------------------------------------------------------------------------------------
 
 
