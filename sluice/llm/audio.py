@@ -2,14 +2,17 @@
 
 `store` turns bytes into WAV files kept in a media column; `features` reads the media back, resamples by a polyphase
 filter, computes overlapped log-mel frames, finds active spans by hysteresis on the frame energy and cuts each span
-into tensors of one fixed shape (FRAMES x MELS, float32, zero-padded at a span's end).
+into tensors of one fixed shape (FRAMES x MELS, float16, zero-padded at a span's end). `write_tensors` stores them in
+Arrow files as fixed-shape tensors beside their spans, `read_tensors` reads these.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import struct
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ship import ship
-from .common import doc_texts, filesystem, fresh_path, slices
+from .common import doc_texts, filesystem, fresh_path, slices, written
 
 #: Payload bytes come in multiples of this, filled up with FILL.
 BLOCK, FILL = 576, 255
@@ -132,7 +135,7 @@ def active_spans(energy: np.ndarray) -> list[tuple[int, int]]:
 
 
 def describe(media: bytes) -> tuple[int, list[dict], list[bytes]]:
-    """Frames, spans in seconds and tensors (FRAMES x MELS float32, little-endian) of a WAV file."""
+    """Frames, spans in seconds and tensors (FRAMES x MELS float16, little-endian) of a WAV file."""
     samples, rate = wav_samples(media)
     x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
     common = int(np.gcd(rate, TARGET_RATE))
@@ -140,9 +143,9 @@ def describe(media: bytes) -> tuple[int, list[dict], list[bytes]]:
     spans, tensors = [], []
     for a, b in active_spans(energy):
         n = -(-(b - a) // FRAMES)
-        block = np.zeros((n * FRAMES, MELS), "<f4")
+        block = np.zeros((n * FRAMES, MELS), "<f2")
         block[: b - a] = np.round(mel[a:b], 2)
-        size = FRAMES * MELS * 4
+        size = FRAMES * MELS * 2
         data = block.tobytes()
         tensors += [data[i * size : (i + 1) * size] for i in range(n)]
         spans.append({"start_s": a * HOP_SECONDS, "end_s": (b - 1) * HOP_SECONDS + FRAME_SECONDS, "tensors": n})
@@ -184,52 +187,88 @@ def features(media: DataFrame) -> DataFrame:
 
 def tensor_array(tensors: list[bytes]) -> pa.FixedShapeTensorArray:
     """Tensors of one fixed shape as an Arrow extension array."""
-    flat = np.frombuffer(b"".join(tensors), "<f4")
-    kind = pa.fixed_shape_tensor(pa.float32(), (FRAMES, MELS))
+    flat = np.frombuffer(b"".join(tensors), "<f2")
+    kind = pa.fixed_shape_tensor(pa.float16(), (FRAMES, MELS))
     return pa.ExtensionArray.from_storage(kind, pa.FixedSizeListArray.from_arrays(pa.array(flat), FRAMES * MELS))
 
 
 def write_tensors(described: DataFrame, path: str) -> DataFrame:
-    """Write one Arrow file per task with doc_id, start_s, end_s and the tensor column; returns (file, tensors).
+    """Write one Arrow file per task: every row with its columns, the spans in seconds and a list of fixed-shape tensors
+    for them; returns (file, rows).
 
-    Files of failed attempts are in no row of the result, so a reader takes the files listed there.
+    Files of failed attempts are in no row of the result, so a reader takes the files listed there, once the result is written.
     """
     ship(described.sparkSession)
 
     def run(batches):
         store, folder = filesystem(path)
         store.create_dir(folder, recursive=True)
-        name, n = f"{folder}/tensors-{uuid.uuid4().hex}.arrow", 0
-        kind = pa.fixed_shape_tensor(pa.float32(), (FRAMES, MELS))
-        schema = pa.schema([("doc_id", pa.int64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("tensor", kind)])
-        with store.open_output_stream(name) as out, pa.ipc.new_file(out, schema) as writer:
+        name, n, writer = f"{folder}/tensors-{uuid.uuid4().hex}.arrow", 0, None
+        with store.open_output_stream(name) as out:
             for batch in batches:
-                rows = [
-                    (i, s["start_s"] + k * FRAMES * HOP_SECONDS, s["end_s"])
-                    for i, spans in zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())
-                    for s in spans for k in range(s["tensors"])
-                ]
-                tensors = [t for many in batch.column("tensors").to_pylist() for t in many]
-                if rows:
-                    ids, starts, ends = zip(*rows)
-                    writer.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts), pa.array(ends), tensor_array(tensors)], schema=schema))
-                    n += len(rows)
-        yield pa.RecordBatch.from_pydict({"file": [name], "tensors": [n]})
+                tensors = batch.column("tensors")
+                ends = tensors.offsets.to_numpy() - tensors.offsets[0].as_py()
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tensor_array(tensors.flatten().to_pylist()))
+                kept = [c for c in batch.schema.names if c != "tensors"]
+                rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], [*kept, "tensors"])
+                writer = writer or pa.ipc.new_file(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                writer.write_batch(rows)
+                n += batch.num_rows
+            if writer:
+                writer.close()
+        if writer:
+            yield pa.RecordBatch.from_pydict({"file": [name], "rows": [n]})
+
+    return described.mapInArrow(run, "file string, rows long")
+
+
+def read_tensors(files: DataFrame, path: str, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """each over the record batches of written tensor files (file), a task per file. path is the folder they are in."""
+    ship(files.sparkSession)
 
-    return described.select("doc_id", "spans", "tensors").mapInArrow(run, "file string, tensors long")
+    def run(batches):
+        store, _ = filesystem(path)
+        for batch in batches:
+            for name in batch.column("file").to_pylist():
+                with store.open_input_file(name) as source:
+                    stored = pa.ipc.open_file(source)
+                    for k in range(stored.num_record_batches):
+                        yield each(stored.get_batch(k))
+
+    return files.select("file").repartition(max(1, files.count())).mapInArrow(run, schema)
+
+
+def digested(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A batch of a tensor file with feature in place of frames, spans and tensors: their numbers and a hash of all."""
+    tensors = batch.column("tensors")
+    kind = tensors.type.value_type
+    if kind.shape != [FRAMES, MELS]:
+        raise ValueError(f"tensors of shape {kind.shape}")
+    flat = tensors.values.storage.flatten().to_numpy(zero_copy_only=False)
+    offsets, size = tensors.offsets.to_numpy(), FRAMES * MELS
+    out = []
+    for k, (n, spans) in enumerate(zip(batch.column("n_frames").to_pylist(), batch.column("spans").to_pylist())):
+        a, b = int(offsets[k]), int(offsets[k + 1])
+        h = hashlib.sha256(b"".join(struct.pack("<ddi", s["start_s"], s["end_s"], s["tensors"]) for s in spans))
+        h.update(flat[a * size : b * size].astype("<f2", copy=False).tobytes())
+        out.append(f"{n}:{len(spans)}:{b - a}:{h.hexdigest()}")
+    kept = [c for c in batch.schema.names if c not in ("n_frames", "spans", "tensors")]
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out)], [*kept, "feature"])
 
 
 def store_and_describe(docs: DataFrame) -> DataFrame:
-    """Store every text as WAV in the shared folder, read it back, and digest media and features per document."""
+    """Store every text as WAV in the shared folder, read it back, store its features as tensors with time spans, read
+    those back, and digest media and features per document."""
     spark = docs.sparkSession
-    path = fresh_path(spark, "media")
+    path, tensors = fresh_path(spark, "media"), fresh_path(spark, "tensors")
     to_media(docs).write.option("compression", "zstd").parquet(path)
     described = features(spark.read.schema("doc_id long, n_bytes long, media binary").parquet(path))
     payload = F.substring("media", _RIFF.size + 1, 2**31 - 1)
-    hashes = F.array_join(F.transform("tensors", lambda t: F.sha2(t, 256)), "")
-    return described.withColumn("payload", payload).select(
+    rows = described.withColumn("payload", payload).select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
-        F.sha2("media", 256).alias("media_sha256"),
-        F.concat_ws(":", "n_frames", F.size("spans"), F.size("tensors"), F.sha2(F.concat(F.to_json("spans"), hashes), 256)).alias("feature"),
+        F.sha2("media", 256).alias("media_sha256"), "n_frames", "spans", "tensors",
     )
+    files = written(write_tensors(rows, tensors), "tensor-files")
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    return read_tensors(files, tensors, digested, schema)

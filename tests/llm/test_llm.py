@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -306,8 +307,58 @@ def test_hysteresis_and_tensors(spark, tmp_path):
     array = audio.tensor_array(tensors)
     assert array.to_numpy_ndarray().shape == (len(tensors), audio.FRAMES, audio.MELS)
     df = spark.createDataFrame([(1, 3, bytearray(media)), (2, 0, None)], "doc_id long, n_bytes long, media binary")
-    made = audio.write_tensors(audio.features(df), str(tmp_path / "t")).collect()
-    assert sum(r.tensors for r in made) == len(tensors)
+    made = common.written(audio.write_tensors(audio.features(df).drop("media"), f"file://{tmp_path}/t"), "tensor-files")
+    assert sum(r.rows for r in made.collect()) == 2
+    stored = [r for f in made.collect() for r in pa.ipc.open_file(f.file).read_all().to_pylist()]
+    one = next(r for r in stored if r["doc_id"] == 1)
+    assert [(s["start_s"], s["end_s"]) for s in one["spans"]] == [(s["start_s"], s["end_s"]) for s in spans]
+    kind = pa.ipc.open_file(made.first().file).schema.field("tensors").type.value_type
+    assert kind == pa.fixed_shape_tensor(pa.float16(), (audio.FRAMES, audio.MELS)) and len(one["tensors"]) == len(tensors)
+    back = audio.read_tensors(made, f"file://{tmp_path}/t", audio.digested, "doc_id long, n_bytes long, feature string").collect()
+    h = hashlib.sha256(b"".join(struct.pack("<ddi", s["start_s"], s["end_s"], s["tensors"]) for s in spans) + b"".join(tensors)).hexdigest()
+    assert {r.doc_id: r.feature for r in back} == {1: f"{n}:2:{len(tensors)}:{h}", 2: f"0:0:0:{hashlib.sha256().hexdigest()}"}
+
+
+def slow_log_mel(y, rate):
+    """Log-mel frames and energies from the definitions: a discrete Fourier transform and triangles, bin by bin."""
+    width, hop = int(audio.FRAME_SECONDS * rate), int(audio.HOP_SECONDS * rate)
+    y = np.concatenate([y, np.zeros(max(0, width - len(y)))])
+    bins = np.arange(audio.FFT // 2 + 1)
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(width), bins) / audio.FFT)
+    top = 2595 * math.log10(1 + rate / 2 / 700)
+    edges = [700 * (10 ** (top * k / (audio.MELS + 1) / 2595) - 1) / rate * audio.FFT for k in range(audio.MELS + 2)]
+    mel, energy = [], []
+    for a in range(0, len(y) - width + 1, hop):
+        part = (y[a : a + width] - y[a : a + width].mean()) * (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(width) / (width - 1)))
+        power = np.abs(part @ wave) ** 2
+        energy.append(10 * math.log10((part**2).sum() / width + 1e-10))
+        mel.append([10 * math.log10(sum(power[b] * max(0.0, min((b - lo) / (mid - lo), (hi - b) / (hi - mid))) for b in bins) + 1e-10) for lo, mid, hi in zip(edges, edges[1:], edges[2:])])
+    return np.array(mel), np.array(energy)
+
+
+def slow_spans(energy):
+    """Hysteresis, frame by frame."""
+    spans, start = [], None
+    for k, e in enumerate(energy - energy.mean()):
+        if start is None and e >= audio.START_DB:
+            start = k
+        elif start is not None and e < audio.STOP_DB:
+            spans.append((start, k))
+            start = None
+    return spans + ([(start, len(energy))] if start is not None else [])
+
+
+def test_features_equal_slow_versions():
+    rng = np.random.default_rng(8)
+    for n in (10, 400, 5000, 9000):
+        y = (rng.standard_normal(n) * np.repeat(rng.choice([0.001, 0.3], n // 10 + 1), 10)[:n]).astype(np.float32)
+        mel, energy = audio.log_mel(y, audio.TARGET_RATE)
+        want, loud = slow_log_mel(y.astype(float), audio.TARGET_RATE)
+        assert mel.shape == want.shape and np.abs(mel - want).max() < 0.05 and np.abs(energy - loud).max() < 0.01
+        assert audio.active_spans(energy) == slow_spans(energy)
+    for _ in range(200):
+        level = rng.choice([-40.0, -8.0, 0.0, -13.0], 30)
+        assert audio.active_spans(level) == slow_spans(level)
 
 
 # -- WARC -------------------------------------------------------------------------------------------------------------
