@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import shared_folder
+from ..plans.shared import discard, shared_folder  # noqa: F401 - discard is used by the operators
 from ..plans.ship import ship
 
 #: Bytes of text that a Python task works on at once; one longer text is worked on whole.
@@ -35,15 +35,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
-def discard(*tables: DataFrame | None) -> None:
-    """Delete tables made by `written` that nothing will read again; what was made otherwise stays."""
-    for df in tables:
-        if df is not None and "_sluice_path" in vars(df):
-            spark = df.sparkSession
-            path = spark._jvm.org.apache.hadoop.fs.Path(df._sluice_path)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def doc_texts(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) of any documents table, for a Python stage that needs this package on the executors."""
     ship(docs.sparkSession)
