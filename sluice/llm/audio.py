@@ -135,7 +135,7 @@ def active_spans(energy: np.ndarray) -> list[tuple[int, int]]:
 
 
 def describe(media: bytes) -> tuple[int, list[dict], list[bytes]]:
-    """Frames, spans in seconds and tensors (FRAMES x MELS float16, little-endian) of a WAV file."""
+    """Frames, spans in seconds and tensors (FRAMES x MELS float16, little-endian, in tenths of a dB) of a WAV file."""
     samples, rate = wav_samples(media)
     x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
     common = int(np.gcd(rate, TARGET_RATE))
@@ -144,7 +144,7 @@ def describe(media: bytes) -> tuple[int, list[dict], list[bytes]]:
     for a, b in active_spans(energy):
         n = -(-(b - a) // FRAMES)
         block = np.zeros((n * FRAMES, MELS), "<f2")
-        block[: b - a] = np.round(mel[a:b], 2)
+        block[: b - a] = np.round(mel[a:b], 1)
         size = FRAMES * MELS * 2
         data = block.tobytes()
         tensors += [data[i * size : (i + 1) * size] for i in range(n)]
