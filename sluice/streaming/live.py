@@ -108,8 +108,10 @@ class TagProcessor(StatefulProcessor):
 
 
 def state_session(spark: SparkSession) -> SparkSession:
-    """A session beside the caller's, whose streams keep their state in RocksDB, as processors with several states need."""
+    """A session beside the caller's, whose streams keep their state in RocksDB, as processors with several states need, and
+    run batches for data alone: a state that is forgotten by the clock would keep an availableNow stream running."""
     session = spark.newSession()
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return session
 

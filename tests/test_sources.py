@@ -270,7 +270,8 @@ def test_tag_snapshots_follow_their_order_and_are_forgotten(spark, tmp_path):
     def remembered(rows, out):
         stream = tag_stream(spark, session, tmp_path / "two", schema, rows)
         found = live.tag_changes_stream(stream, order="seq", keep=timedelta(seconds=1))
-        found.writeStream.format("parquet").option("path", str(tmp_path / out)).option("checkpointLocation", str(tmp_path / "cp-forgetful")).trigger(availableNow=True).start().awaitTermination(120)
+        query = found.writeStream.format("parquet").option("path", str(tmp_path / out)).option("checkpointLocation", str(tmp_path / "cp-forgetful")).trigger(availableNow=True).start()
+        assert query.awaitTermination(120)
         return session.read.schema("image_id long, tags array<string>").parquet(str(tmp_path / out)).count()
 
     assert remembered([(1, ["a"], 1), (2, ["x"], 1)], "out") == 0
