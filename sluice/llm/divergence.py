@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..plans.ship import ship
-from .common import discard, slices, written
+from .common import slices, written
 
 #: A language keeps terms that at least so many of its documents hold.
 LEAST_DOCUMENTS = 30
@@ -39,65 +39,72 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split(b" ")
 
 
+def known(docs: DataFrame) -> DataFrame:
+    """lang, source, text of docs, nulls as empty."""
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+
+
 def collapsed(docs: DataFrame) -> DataFrame:
-    """(lang, text, copies array<(source, n)>) of the distinct texts of each language. Copies are counted before anything
-    moves, so a text that fills a third of the rows is one row of each task."""
-    known = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    one = docs.select(*known).groupBy("lang", "source", "text").agg(F.count(F.lit(1)).alias("n"))
-    return one.groupBy("lang", "text").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
+    """(lang, text, copies array<(source, n)>) of the distinct texts of each language, which are told by their SHA-256.
+
+    Copies are counted and texts made distinct before anything moves, so a text that fills a third of the rows is one row
+    of each task. Texts move once; the numbers of their copies meet them where they are.
+    """
+    rows = known(docs).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    copies = rows.groupBy("digest", "lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    copies = copies.groupBy("digest", "lang").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
+    texts = rows.groupBy("digest", "lang").agg(F.any_value("text").alias("text"))
+    return texts.join(copies, ["digest", "lang"]).drop("digest")
 
 
 def partial_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, n): counts by source, and document frequencies as rows without a source. A task adds up what
-    it can hold; sums over tasks are the reader's."""
+    """(lang, source, term, n, documents): counts and document frequencies by source, with the multiplicities of each text.
+    A task adds up what it can hold; sums over tasks are the reader's."""
     ship(texts.sparkSession)
 
     def run(batches):
-        held: dict[tuple[str, str | None], Counter] = defaultdict(Counter)
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
         for batch in batches:
             for part in slices([batch]):
                 columns = (part.column(c).to_pylist() for c in ("lang", "text", "copies"))
                 for lang, text, copies in zip(*columns):
                     found = Counter(terms_of(text))
                     found.pop(b"", None)
-                    total = sum(c["n"] for c in copies)
-                    documents = held[lang, None]
-                    for term in found:
-                        documents[term] += total
                     for c in copies:
-                        counts, n = held[lang, c["source"]], c["n"]
+                        (counts, documents), n = held[lang, c["source"]], c["n"]
                         if n == 1:
                             counts.update(found)
+                            documents.update(found.keys())
                         else:
                             for term, k in found.items():
                                 counts[term] += k * n
-                if sum(map(len, held.values())) > HELD_COUNTS:
+                                documents[term] += n
+                if sum(len(counts) for counts, _ in held.values()) > HELD_COUNTS:
                     yield from rows(held)
                     held.clear()
         yield from rows(held)
 
     def rows(held):
-        for (lang, source), counts in held.items():
+        for (lang, source), (counts, documents) in held.items():
             if counts:
                 k = len(counts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()),
-                        pa.array(counts.keys(), pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64()),
+                        pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(counts.keys(), pa.binary()).cast(pa.string()),
+                        pa.array(counts.values(), pa.int64()), pa.array(map(documents.__getitem__, counts), pa.int64()),
                     ],
-                    ["lang", "source", "term", "n"],
+                    ["lang", "source", "term", "n", "documents"],
                 )
 
-    return texts.select("lang", F.col("text").cast("binary").alias("text"), "copies").mapInArrow(run, "lang string, source string, term string, n long")
+    schema = "lang string, source string, term string, n long, documents long"
+    return texts.select("lang", F.col("text").cast("binary").alias("text"), "copies").mapInArrow(run, schema)
 
 
 def kept_terms(counts: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """(lang, term, total, sources array<(source, n)>) of the terms that at least `least` documents of the language hold."""
-    per_source = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    per_source = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
     found = per_source.groupBy("lang", "term").agg(
-        F.sum(F.when(F.col("source").isNull(), F.col("n"))).alias("documents"),
-        F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("total"),
-        F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n"))).alias("sources"),
+        F.sum("documents").alias("documents"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources")
     )
     return found.filter(F.col("documents") >= least).select("lang", "term", "total", "sources")
 
@@ -169,9 +176,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS) -
     are included; a language of one source has no pair. Ties rank by item. Other columns are ignored. An empty table gives
     no row. The rows of part 'pair' grow with the square of a language's sources, as they are its result.
     """
-    texts = written(collapsed(docs), "texts")
-    kept = written(kept_terms(partial_counts(texts), least), "kept-terms")
-    occurring = texts.select("lang", F.explode("copies.source").alias("source")).distinct()
+    kept = written(kept_terms(partial_counts(collapsed(docs)), least), "kept-terms")
+    occurring = known(docs).select("lang", "source").distinct()
     totals = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
     per_source = kept.select("lang", F.explode("sources").alias("s")).groupBy("lang", F.col("s.source").alias("source")).agg(F.sum("s.n").alias("group_n"))
     groups = (
@@ -179,7 +185,6 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS) -
         .select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("group_n", "v", "lang_n")])
     )
     groups = written(groups.withColumn("z", F.when(F.col("v") > 0, share(0, "group_n", "v"))), "groups")
-    discard(texts)
     languages = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("groups"), F.max("v").alias("v"))
     flat = kept.select("lang", "term", "total", F.explode("sources").alias("s")).select("lang", "term", "total", "s.source", "s.n")
     counts = flat.join(groups, ["lang", "source"]).select(
