@@ -101,8 +101,11 @@ def partial_counts(texts: DataFrame) -> DataFrame:
 
 
 def kept_terms(counts: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(lang, term, total, sources array<(source, n)>) of the terms that at least `least` documents of the language hold."""
-    per_source = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    """(lang, term, total, sources array<(source, n)>) of the terms that at least `least` documents of the language hold.
+
+    Tasks have added up their counts, so these move once, by term, for the sums by source and those by language.
+    """
+    per_source = counts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
     found = per_source.groupBy("lang", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources")
     )
