@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import BANDS
 from ..plans.shared import written
-from .bootstrap import Ratio, drawn_patterns, interval
+from .bootstrap import Ratio, drawn_cells, interval
 
 #: The reporting thresholds of a sweep.
 THRESHOLDS = tuple(round(0.10 + 0.05 * k, 2) for k in range(17))
@@ -189,16 +189,15 @@ def sweep_marks(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float]
 def sweep_intervals(frames: DataFrame, boxes: DataFrame, thresholds: Sequence[float] = THRESHOLDS, rounds: int = SWEEP_ROUNDS, seed: int = 20260923, alpha: float = 0.05) -> DataFrame:
     """threshold, level, metric, low, high of every statistic of a sweep, all from one resampling of the frames.
 
-    Frames with the same band, weight and marks are one pattern. Draws are counted by pattern, patterns give a histogram
-    of bins per replicate, and the counts of all thresholds are sums over its upper bins.
+    A frame's marks are counted into cells of weight, level, kind and bin as its draws are looked up, so what moves per
+    replicate is bounded by bands and thresholds; the counts of all thresholds are sums over upper bins.
     """
     ladder = sorted(float(t) for t in thresholds)
     frames = frames.select("frame_id", "band", "weight", "has_fish", "max_conf")
-    marked = frames.join(sweep_marks(frames, boxes, ladder), "frame_id").withColumn("marks", F.array_sort("marks"))
-    marked = written(marked.select("frame_id", "band", "weight", "marks"), "marked")
-    counted, patterns = drawn_patterns(marked, ["weight", "marks"], rounds, seed)
-    each = counted.join(patterns, "pattern").select("replicate", "weight", "n", F.explode("marks").alias("m"))
-    bins = each.groupBy("replicate", "m.level", "m.kind", "m.bin").agg(F.sum(F.col("weight") * F.col("n") * F.col("m.n")).alias("w"))
+    marked = written(frames.join(sweep_marks(frames, boxes, ladder), "frame_id").select("frame_id", "band", "weight", "marks"), "marked")
+    own = F.transform("marks", lambda m: F.struct("weight", *(m[c].alias(c) for c in ("level", "kind", "bin", "n"))))
+    counted, cells = drawn_cells(marked, own, rounds, seed)
+    bins = counted.join(cells, "cell").groupBy("replicate", "level", "kind", "bin").agg(F.sum(F.col("weight") * F.col("n")).alias("w"))
     held = bins.groupBy("replicate", "level").agg(F.collect_list(F.struct("kind", "bin", "w")).alias("bins"))  # at most three kinds of each bin
 
     total = "aggregate(filter(bins, x -> {}), 0D, (s, x) -> s + x.w) AS {}"
