@@ -9,7 +9,7 @@ from ..functions import scalars as S
 from ..operators import report as R
 from ..sources import files, journal as J, sheets, tables as T
 from .queries_report import BOTH, _STATS, journal
-from .shared import fresh_path
+from .shared import discard, fresh_path, written
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -29,11 +29,12 @@ def query(sql: str | None = None):
 def s01_journal_scan(spark, d):
     """A journal whose first pass was rewritten by a second one, with a torn line and blanks, read back."""
     path = fresh_path(spark, "journal")
-    entries = journal(spark, d)
+    entries = written(journal(spark, d).drop("n"), "entries")
     J.write_journal(entries.withColumn("blur", F.col("blur") + 1).withColumn("detections", F.slice("detections", 1, 1)), f"{path}/1")
     torn = entries.select(F.concat(F.substring(F.to_json(F.struct("file", "width")), 1, 12), F.lit("")).alias("value")).limit(3)
     torn.unionByName(spark.range(2).select(F.lit("").alias("value"))).write.text(f"{path}/2")
     J.write_journal(entries, f"{path}/3")
+    discard(entries)
     back = J.read_journal(spark, [f"{path}/{k}" for k in (1, 2, 3)])
     return back.select("file", "blur", "error", F.size("detections").alias("boxes"))
 

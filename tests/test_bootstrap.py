@@ -110,3 +110,10 @@ def test_difference_evaluates_its_frames_once(spark, sf, monkeypatch, counted_ro
     monkeypatch.setattr(queries_evaluate, "eval_frames", lambda s, d: whole(s, d).filter(passing("frame_id")))
     queries_evaluate.a24_difference_between_groups(spark, sf).collect()
     assert seen() == n > 0
+
+
+def test_journal_scan_makes_its_entries_once(spark, sf, monkeypatch, counted_rows):
+    passing, seen = counted_rows
+    whole = queries_sources.journal
+    monkeypatch.setattr(queries_sources, "journal", lambda s, d: whole(s, d).filter(passing("file")))
+    assert queries_sources.s01_journal_scan(spark, sf).count() == seen() > 0
