@@ -62,14 +62,19 @@ def write_files(rows: DataFrame, root: str) -> None:
 
         plain = root.startswith("file:") or "://" not in root
         store, base = (fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")) if plain else fs.FileSystem.from_uri(root)
+        made: set[str] = set()
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
-                store.create_dir(os.path.dirname(f"{base}/{path}"), recursive=True)
+                folder = os.path.dirname(f"{base}/{path}")
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(f"{base}/{path}") as out:
                     out.write(bytes(content))
             yield pd.DataFrame({"n": [len(frame)]})
 
-    rows.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, which would be left to one task
+    rows.select("path", F.col("content").cast("binary").alias("content")).repartition(tasks, "path").mapInPandas(run, "n long").agg(F.sum("n")).collect()
 
 
 def bright_part():

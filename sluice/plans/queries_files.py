@@ -334,11 +334,13 @@ def u06_orientation(spark, d):
 
 def in_batches(df: DataFrame, by: str, batches: int, start: Callable[[DataFrame], StreamingQuery], session: SparkSession | None = None) -> None:
     """df handed to a stream in batches of ascending `by`: each arrives in files written by all tasks, and the stream is
-    stopped after it and started again from its checkpoint for the next."""
-    path = fresh_path(df.sparkSession, "stream")
+    stopped after it and started again from its checkpoint for the next. df is evaluated once, into a folder per batch."""
+    path, parts = fresh_path(df.sparkSession, "stream"), fresh_path(df.sparkSession, "batches")
     rows = df.drop(by)
+    df.withColumn(by, F.col(by).cast("long")).filter(F.col(by).between(0, batches - 1)).write.partitionBy(by).parquet(parts)
+    staged = df.sparkSession.read.schema(rows.withColumn(by, F.lit(0).cast("long")).schema).parquet(parts)
     for k in range(batches):
-        df.filter(F.col(by) == k).drop(by).write.mode("append").parquet(path)
+        staged.filter(F.col(by) == k).drop(by).write.mode("append").parquet(path)
         start((session or df.sparkSession).readStream.schema(rows.schema).parquet(path)).awaitTermination()
 
 

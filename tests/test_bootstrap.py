@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import bootstrap as B
 from sluice.operators import evaluate as E
-from sluice.plans import queries_evaluate, queries_sources
+from sluice.plans import queries_evaluate, queries_files, queries_sources
 
 SIZES = {"high": 1_300, "none": 7, "low": 256}
 
@@ -117,3 +117,16 @@ def test_journal_scan_makes_its_entries_once(spark, sf, monkeypatch, counted_row
     whole = queries_sources.journal
     monkeypatch.setattr(queries_sources, "journal", lambda s, d: whole(s, d).filter(passing("file")))
     assert queries_sources.s01_journal_scan(spark, sf).count() == seen() > 0
+
+
+def test_batches_evaluate_their_rows_once(spark, counted_rows):
+    passing, seen = counted_rows
+    df = spark.range(31).withColumn("b", F.when(F.col("id") < 30, F.col("id") % 3)).filter(passing("id"))
+    sizes = []
+
+    def start(stream):
+        return stream.writeStream.foreachBatch(lambda rows, _: sizes.append(rows.count())).trigger(availableNow=True).start()
+
+    queries_files.in_batches(df, "b", 3, start)
+    assert seen() == 31
+    assert sizes == [10, 20, 30]  # each start has no checkpoint here, so it sees all that has come
